@@ -11,7 +11,7 @@ Tokens: runs of letters and digits, lower-cased; shorter items than the shortest
 token sequence, as one seed.
 
 Plan. Document tokens stay in their row: one explode yields positions, hashing and the probe of the benchmark's hash table
-run in the same generated code, and only hits leave it. The benchmark's table is broadcast if it holds at most
+run in the same generated code, and only hits leave it, each with the tokens near it. The benchmark's table is broadcast if it holds at most
 ``broadcast_rows`` rows (checked by counting); beyond that hashes are shuffled, and texts are joined to the hits.
 
 Defined results: a null or empty text or item overlaps nothing; rows with null ids are compared and carry the null;
@@ -40,18 +40,18 @@ def seeds(words: str, pos: str) -> Column:
 
 
 def item_seeds(items: DataFrame) -> DataFrame:
-    """(hash, item_no, item_pos, item_words) of the distinct token sequences ``items`` (item_no, item_words)."""
+    """(hash, item_no, item_pos) of the distinct token sequences ``items`` (item_no, item_words)."""
     at = items.select("item_no", "item_words", F.explode(F.sequence(F.lit(0), F.size("item_words") - 1)).alias("item_pos"))
-    return at.select("item_no", "item_words", "item_pos", F.explode(seeds("item_words", "item_pos")).alias("hash")).where("hash is not null")
+    return at.select("item_no", "item_pos", F.explode(seeds("item_words", "item_pos")).alias("hash")).where("hash is not null")
 
 
-def best_window(words: str, items: str, doc_at: str, item_at: str, span: int) -> Column:
-    """The most equal tokens in any ``span`` tokens of the item laid along the diagonal of (doc_at, item_at) that hold the hit."""
-    # the item's tokens that face the document, as far as a window with the hit reaches
-    shift = F.col(doc_at) - F.col(item_at)
+def best_window(near: str, items: str, near_at: str, item_at: str, span: int) -> Column:
+    """The most equal tokens in any ``span`` tokens of the item laid along the diagonal of a hit, with the hit's first token
+    among them. ``near`` holds the document's tokens around the hit, which is at ``near_at`` in it."""
+    shift = F.col(near_at) - F.col(item_at)
     low = F.greatest(F.lit(0), -shift, F.col(item_at) - (span - 1))
-    high = F.least(F.size(items), F.size(words) - shift, F.col(item_at) + span)
-    equal = F.transform(F.sequence(low, high - 1), lambda k: F.when(F.get(F.col(words), k + shift) == F.get(F.col(items), k), 1).otherwise(0))
+    high = F.least(F.size(items), F.size(near) - shift, F.col(item_at) + span)
+    equal = F.transform(F.sequence(low, high - 1), lambda k: F.when(F.get(F.col(near), k + shift) == F.get(F.col(items), k), 1).otherwise(0))
     width = F.least(F.lit(span), F.size(items))
     state = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"), F.lit(0).alias("at"))
 
@@ -67,20 +67,24 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, span: int
     sequences = benchmark.select("item_id", tokens(F.col("text")).alias("item_words")).where(F.size("item_words") > 0)
     owners = sequences.select(F.xxhash64("item_words").alias("item_no"), "item_id", "item_words")
     items = scratch.save(owners.groupBy("item_no").agg(F.first("item_words").alias("item_words")))
-    table = item_seeds(items.where(F.size("item_words") >= SHORTEST))
+    table = scratch.save(item_seeds(items.where(F.size("item_words") >= SHORTEST)))
     few = table.limit(broadcast_rows + 1).count() <= broadcast_rows
-    spreaded = spread(docs.select("doc_id", "text"))
-    words = spreaded.select("doc_id", tokens(F.col("text")).alias("words"))
+    words = spread(docs.select("doc_id", "text")).select("doc_id", tokens(F.col("text")).alias("words"))
+    # a hit leaves the generated code with the tokens around it, never with the whole document's
+    start = F.greatest(F.col("pos") - (span - 1), F.lit(0))
+    around = [F.slice("words", start + 1, 2 * span).alias("near"), (F.col("pos") - start).alias("near_at")]
     if few:
         found = words.select("doc_id", "words", F.posexplode("words").alias("pos", "_w")).select("doc_id", "words", "pos", F.explode(seeds("words", "pos")).alias("hash"))
-        hits = found.join(F.broadcast(table), "hash")
+        hits = found.join(F.broadcast(table), "hash").select("doc_id", "item_no", "item_pos", *around)
     else:
         keyed = words.withColumn("row", F.xxhash64("doc_id", "words"))
-        found = keyed.select("doc_id", "row", F.posexplode("words").alias("pos", "_w"), "words").select("doc_id", "row", "pos", F.explode(seeds("words", "pos")).alias("hash")).where("hash is not null")
-        hits = found.join(table, "hash").join(keyed.select("row", "words").dropDuplicates(["row"]), "row")
+        found = keyed.select("row", "words", F.posexplode("words").alias("pos", "_w")).select("row", "pos", F.explode(seeds("words", "pos")).alias("hash")).where("hash is not null")
+        hits = found.join(table, "hash").join(keyed, "row").select("doc_id", "item_no", "item_pos", *around)
+    # the masks' hits on one position are one
+    hits = hits.distinct().join(F.broadcast(items) if few else items, "item_no")
     width = F.least(F.lit(span), F.size("item_words"))
-    scored = hits.select("doc_id", "item_no", best_window("words", "item_words", "pos", "item_pos", span).alias("matched"), width.alias("of"))
-    pairs = scored.where(F.col("matched") * 100 >= F.col("of") * percent).groupBy("doc_id", "item_no").agg(F.max("matched").alias("matched"), F.first("of").alias("of"))
+    scored = hits.select("doc_id", "item_no", best_window("near", "item_words", "near_at", "item_pos", span).alias("matched"), width.alias("of"))
+    pairs = scored.where(F.col("matched") * 100 >= F.col("of") * percent).groupBy("doc_id", "item_no").agg(F.max("matched").alias("matched"), F.max("of").alias("of"))
     short = short_items(words, items)
     return pairs.unionByName(short).join(owners.select("item_no", "item_id"), "item_no").select("doc_id", "item_id", "matched", "of")
 
