@@ -173,7 +173,7 @@ def choose(toxic_docs: dict[int, list[str]], least: int) -> list[str]:
     return chosen
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratch, most: int = 20_000, max_features: int = 3000, max_windows: int = 40_000) -> Field:
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratch, most: int = 20_000, max_features: int = 1200, max_windows: int = 8_000) -> Field:
     """Fit the field to the labelled documents of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     # at most ``most`` rows of two numbers: small enough to send to every executor
@@ -244,14 +244,16 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratc
                         runs.append([max(0, k - WINDOW), min(len(words), k + WINDOW + 1)])
                 for lo, hi in runs[:4]:
                     hi = min(hi, lo + 40)
-                    out.append(json.dumps([[(fs := memo[w]), int(x == 1 and any(f in seeds for f in fs))] for w in words[lo:hi]]))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["w"])
+                    rows = [[(fs := memo[w]), int(x == 1 and any(f in seeds for f in fs))] for w in words[lo:hi]]
+                    out.append((json.dumps(rows), any(y for _, y in rows)))
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.string()), pa.array([y for _, y in out], pa.bool_())], names=["w", "toxic"])
 
-    rows = train.select("text", "toxic").mapInArrow(windows, "w string").orderBy(F.xxhash64("w"), "w").limit(max_windows).collect()
-    return train_field([json.loads(r["w"]) for r in rows])
+    held = scratch.save(train.select("text", "toxic").mapInArrow(windows, "w string, toxic boolean"))
+    rows = [r["w"] for kind in (True, False) for r in held.where(F.col("toxic") == kind).orderBy(F.xxhash64("w"), "w").limit(max_windows // 2).collect()]
+    return train_field([json.loads(w) for w in rows])
 
 
-def train_field(windows: list[list], rounds: int = 120, rate: float = 0.3, prior: float = 0.002) -> Field:
+def train_field(windows: list[list], rounds: int = 80, rate: float = 0.3, prior: float = 0.002) -> Field:
     """Maximum likelihood by Adam; ``windows``: lists of (features, tag)."""
     names = sorted({f for w in windows for fs, _ in w for f in fs})
     index = {f: k for k, f in enumerate(names)}
