@@ -254,7 +254,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, scratch: Scratch, size
     if final is None:
         final = scratch.save(components(spark, linked, scratch))
     byclass = classes.select("_set_hash", "rep").join(final, F.col("rep") == F.col("node"), "left").select("_set_hash", F.coalesce("root", "rep").alias("_root"))
-    out = sketched.join(byclass, "_set_hash", "left").select("doc_id", "n_shingles", F.coalesce("_root", "doc_id").alias("component_id"))
+    out = sketched.join(byclass, "_set_hash", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
