@@ -3,10 +3,11 @@
 Tokens: runs of letters and digits (any byte beyond ASCII counts as a letter), A-Z lower-cased. A token's features are the
 word and its prefixes of 4, 5 and 6 characters, so that inflected forms share what is learned of their stem.
 
-Labelled tokens. Labels mark documents, so tokens are labelled first: features are chosen greedily, each the one that
-occurs in most toxic documents not yet explained and (almost) in no clean one. A token of a toxic document with a chosen
-feature is toxic, every other token is clean. The field is then fitted to windows around such tokens and around tokens of
-clean documents that bear a candidate feature: maximum likelihood with a Gaussian prior, by forward-backward and Adam.
+Labelled tokens. Labels mark documents, so tokens are labelled first. A feature marks toxic tokens if it occurs in so
+many toxic documents and (almost) no clean one that chance is ruled out, and after many different words: what copies of one
+document share always follows the same ones. A token of a toxic document with such a feature is toxic, every other token
+is clean. The field is then fitted to windows around such tokens and around tokens of clean documents that bear a candidate
+feature: maximum likelihood with a Gaussian prior, by forward-backward and Adam.
 
 Scoring. Forward-backward over the whole text gives each token's marginal. A document's score is the probability that at
 least one of its tokens with a marginal of 0.1 or more is toxic (these taken as independent), else its largest marginal.
@@ -22,8 +23,9 @@ kinds everything scores 0; rows of one doc_id with several labels count as toxic
 from __future__ import annotations
 
 import json
+import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -156,23 +158,6 @@ def tag(df: DataFrame, model: Field, text: str = "text") -> DataFrame:
     return add_text_columns(df, text, [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("spans", SPAN)], make)
 
 
-def choose(toxic_docs: dict[int, list[str]], least: int) -> list[str]:
-    """Greedy cover of the toxic documents by candidate features; ties go to the longer, then the smaller name."""
-    holders: dict[str, set[int]] = defaultdict(set)
-    for d, fs in toxic_docs.items():
-        for f in fs:
-            holders[f].add(d)
-    chosen = []
-    while holders:
-        f = min(holders, key=lambda f: (-len(holders[f]), -len(f), f))
-        got = holders.pop(f)
-        if len(got) < least:
-            break
-        chosen.append(f)
-        holders = {g: left for g, h in holders.items() if (left := h - got)}
-    return chosen
-
-
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratch, most: int = 20_000, max_features: int = 1200, max_windows: int = 8_000) -> Field:
     """Fit the field to the labelled documents of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -203,20 +188,24 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratc
         yield from flush()
 
     by = train.select("text", "toxic").mapInArrow(counts, "feature string, n long, toxic int").groupBy("feature").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
-    least = max(2, n_toxic // 400)
+    # so often in toxic documents alone by chance less than once in a million features
+    least = max(3, math.ceil(math.log(1e-6) / math.log(n_toxic / (n_toxic + n_clean))))
     odds = n_clean / n_toxic
     able = by.where((F.col("t") >= least) & (F.col("c") <= 0.02 * F.col("t") * odds)).orderBy(F.desc(F.col("t") - F.col("c")), "feature").limit(max_features)
-    candidates = {r["feature"] for r in able.collect()}
+    candidates = {r["feature"]: r["t"] for r in able.collect()}
     if not candidates:
         return Field()
 
-    def toxic_docs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [json.dumps(sorted({f for w in set((t or "").encode().translate(_FOLD).split()) for f in features(w)} & candidates)) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], names=["found"])
-
-    found = train.where("toxic = 1").select("text").mapInArrow(toxic_docs, "found string").collect()
-    seeds = set(choose({i: json.loads(r["found"]) for i, r in enumerate(found)}, least))
+            found = set()
+            for t in batch.column(0).to_pylist():
+                words = (t or "").encode().translate(_FOLD).split()
+                found.update((f, a.decode("utf-8", "replace")) for a, w in zip([b"", *words], words) for f in features(w) if f in candidates)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.string()) for k in (0, 1)], names=["feature", "before"])
+
+    found = train.where("toxic = 1").select("text").mapInArrow(contexts, "feature string, before string").distinct().groupBy("feature").count().collect()
+    seeds = {r["feature"] for r in found if r["count"] >= max(3, min(8, 0.3 * candidates[r["feature"]]))}
     if not seeds:
         return Field()
 
