@@ -63,25 +63,25 @@ def parts_of(word: bytes) -> list[str]:
 
 def arcs(words: list[str], pieces: dict[str, int], prefixes: frozenset[str]) -> tuple[np.ndarray, ...]:
     """(word, start, end, piece) of every piece in every marked word; piece len(pieces) is an unknown character."""
-    out: list[tuple[int, int, int, int]] = []
-    other = len(pieces)
+    out: list[int] = []  # the four numbers of an arc in one: lengths are below 64, pieces below 65,536
+    other, add, get = len(pieces), out.append, pieces.get
     for k, word in enumerate(words):
         w = MARK + word
         n = len(w)
         for i in range(n):
-            single = False
+            at, single = (k << 6 | i) << 6, False
             for j in range(i + 1, n + 1):
                 sub = w[i:j]
                 if sub not in prefixes:
                     break
-                p = pieces.get(sub)
+                p = get(sub)
                 if p is not None:
-                    out.append((k, i, j, p))
+                    add((at | j) << 16 | p)
                     single = single or j == i + 1
             if not single:
-                out.append((k, i, i + 1, other))
-    a = np.array(out, np.int64).reshape(-1, 4)
-    return a[:, 0], a[:, 1], a[:, 2], a[:, 3]
+                add((at | i + 1) << 16 | other)
+    a = np.array(out, np.int64)
+    return a >> 28, a >> 22 & 63, a >> 16 & 63, a & 65535
 
 
 def by_position(at: np.ndarray) -> list[np.ndarray]:
@@ -120,7 +120,7 @@ class Model:
 class Scorer:
     """Log likelihoods of words, remembered up to a bound."""
 
-    def __init__(self, model: Model, most: int = 250_000):
+    def __init__(self, model: Model, most: int = 600_000):
         self.model, self.most = model, most
         self.pieces, self.prefixes = vocabulary(model.path)
         self.slot: dict[bytes, int] = {}
