@@ -7,10 +7,12 @@ of equal coordinates of two sketches is concentrated about t times the Jaccard s
 
 Plan. Equal sets collapse to their smallest doc_id first, so copies cost one row each from then on. Representatives are
 dealt by bands of the sketch. A first round of candidates pairs each member of a bucket with the bucket's smallest member
-(never more rows than members), verifies them on the full sets and joins what holds into components. The second round
-looks only at buckets that still hold more than one component, and there only at pairs across components whose sketches
-agree well enough; these too are verified on the full sets. Pairs inside a component can't change the result, so no link
-between different texts is lost, and a group of thousands of copies never makes the pairs of its members. Buckets of
+(never more rows than members), verifies them on the full sets and joins what holds into components. Later rounds look
+only at buckets that still hold more than one component, and there only at pairs across components whose sketches agree
+well enough, all verified on the full sets: the second at each member's nearest one outside its component (again no more
+rows than members), which joins nearly all that belongs together, the third at whatever pairs are then left. Pairs inside
+a component can't change the result, so no link between different texts is lost, and a group of thousands of copies never
+makes the pairs of its members. Buckets of
 more than ``large`` members are first split by each further band they also agree on, which separates chance neighbours.
 
 Lost with a probability of about (1 - s^4)^20 per pair of similarity s at the threshold: 4e-7 at 0.85, 3e-5 at 0.8.
@@ -117,8 +119,8 @@ def with_sketches(df: DataFrame, size: int, text: str = "text") -> DataFrame:
 
 
 def _sketch_floor(threshold: float) -> int:
-    """Equal coordinates below which a pair at the threshold falls with a probability of under 1e-7: 5.5 deviations."""
-    return int(COORDINATES * threshold - 5.5 * (COORDINATES * threshold * (1 - threshold)) ** 0.5)
+    """Equal coordinates below which a pair at the threshold falls with a probability of about 3e-5: 4 deviations."""
+    return int(COORDINATES * threshold - 4 * (COORDINATES * threshold * (1 - threshold)) ** 0.5)
 
 
 def agreeing(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -135,8 +137,9 @@ def agreeing(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.where(fits).select("a", "b", "_sa", "_sb").mapInArrow(run, "a long, b long")
 
 
-def across(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) of rows (key, doc_id, root, _n, _sketch) that share a key, differ in root, and agree in sketch.
+def across(rows: DataFrame, threshold: float, nearest: bool) -> DataFrame:
+    """(a, b) of rows (key, doc_id, root, _n, _sketch) that share a key, differ in root, and agree in sketch; with
+    ``nearest`` only each row's best agreeing one, so no more pairs than rows.
 
     The rows come sorted by key within a partition, so one pass over the partition sees each bucket's rows together; they
     are compared in blocks of sketches, and only agreeing pairs are emitted.
@@ -147,18 +150,30 @@ def across(rows: DataFrame, threshold: float) -> DataFrame:
         order = np.argsort(roots, kind="stable")
         ids, roots, sizes, sketches = ids[order], roots[order], sizes[order], sketches[order]
         after = np.searchsorted(roots, roots, "right")  # the first row of a later component
+        best, partner = np.full(len(ids), floor - 1), np.zeros(len(ids), np.int64)
         for i in range(0, len(ids), block):
             part = slice(i, i + block)
             for j in range(int(after[i]) // block * block, len(ids), block):
                 other = slice(j, j + block)
                 open_ = (roots[part, None] < roots[None, other]) & (np.minimum(sizes[part, None], sizes[None, other]) >= threshold * np.maximum(sizes[part, None], sizes[None, other]))
                 x, y = np.nonzero(open_)
-                for k in range(0, len(x), 1 << 16):
-                    xs, ys = x[k : k + (1 << 16)] + i, y[k : k + (1 << 16)] + j
-                    same = (sketches[xs] == sketches[ys]).sum(axis=1) >= floor
-                    a, b = ids[xs[same]], ids[ys[same]]
-                    if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                if not len(x):
+                    continue
+                score = np.concatenate([(sketches[x[k : k + (1 << 16)] + i] == sketches[y[k : k + (1 << 16)] + j]).sum(axis=1) for k in range(0, len(x), 1 << 16)])
+                if nearest:
+                    all_ = np.full(open_.shape, -1)
+                    all_[x, y] = score
+                    for axis, mine, base in ((1, part, j), (0, other, i)):
+                        top, at = all_.max(axis), all_.argmax(axis) + base
+                        better = top > best[mine]
+                        best[mine], partner[mine] = np.where(better, top, best[mine]), np.where(better, at, partner[mine])
+                elif (same := score >= floor).any():
+                    yield batch_of(ids[x[same] + i], ids[y[same] + j])
+        if nearest and (found := best >= floor).any():
+            yield batch_of(ids[found], ids[partner[found]])
+
+    def batch_of(a, b) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -239,20 +254,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, scratch: Scratch, size
     same = live.select("doc_id", "_set_hash").join(classes.select("_set_hash", "rep"), "_set_hash").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).where("a < b")
     roots = scratch.save(components(spark, links, scratch))
 
-    # second round: pairs across components in the buckets that hold several
-    rooted = shared.join(roots, shared["doc_id"] == roots["node"], "left").select("key", "band", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low < high").select("key", "members")
-    members = rooted.join(mixed, "key").join(nodes, "doc_id")
-    small = members.where(F.col("members") <= large)
-    other = shared.select(F.col("doc_id").alias("_other"), F.col("band").alias("_band"), F.col("key").alias("_key"))
-    split = members.where(F.col("members") > large).join(other, F.col("doc_id") == F.col("_other")).where("band != _band").withColumn("key", F.xxhash64("key", "_key"))
-    found = across(small.select("key", "doc_id", "root", "_n", "_sketch").unionByName(split.select("key", "doc_id", "root", "_n", "_sketch")), threshold)
-    second = scratch.save(found.distinct().join(first, ["a", "b"], "left_anti"))
-    more = verified(second, texts, size, percent, scratch)
-    linked = links.unionByName(more)
-    final = scratch.save(components(spark, linked.unionByName(same), scratch)) if _repeats(live) else None
-    if final is None:
-        final = scratch.save(components(spark, linked, scratch))
+    def candidates(roots: DataFrame, nearest: bool) -> DataFrame:
+        """Pairs across components in the buckets that hold several."""
+        rooted = shared.join(roots, shared["doc_id"] == roots["node"], "left").select("key", "band", "doc_id", F.coalesce("root", "doc_id").alias("root"))
+        mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low < high").select("key", "members")
+        members = rooted.join(mixed, "key").join(nodes, "doc_id")
+        small = members.where(F.col("members") <= large)
+        other = shared.select(F.col("doc_id").alias("_other"), F.col("band").alias("_band"), F.col("key").alias("_key"))
+        split = members.where(F.col("members") > large).join(other, F.col("doc_id") == F.col("_other")).where("band != _band").withColumn("key", F.xxhash64("key", "_key"))
+        return across(small.select("key", "doc_id", "root", "_n", "_sketch").unionByName(split.select("key", "doc_id", "root", "_n", "_sketch")), threshold, nearest).distinct()
+
+    # second round: each member with the nearest outside its component; third round: all that is left between components
+    second = scratch.save(candidates(roots, True).join(first, ["a", "b"], "left_anti"))
+    links = scratch.save(links.unionByName(verified(second, texts, size, percent, scratch)))
+    roots = scratch.save(components(spark, links, scratch))
+    third = scratch.save(candidates(roots, False).join(first.unionByName(second), ["a", "b"], "left_anti"))
+    linked = links.unionByName(verified(third, texts, size, percent, scratch))
+    final = scratch.save(components(spark, linked.unionByName(same) if _repeats(live) else linked, scratch))
     byclass = classes.select("_set_hash", "rep").join(final, F.col("rep") == F.col("node"), "left").select("_set_hash", F.coalesce("root", "rep").alias("_root"))
     out = sketched.join(byclass, "_set_hash", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
