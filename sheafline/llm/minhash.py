@@ -38,6 +38,8 @@ from .common import Scratch, add_text_columns, components, slices, spread
 
 COORDINATES, ROWS = 80, 4
 BANDS = COORDINATES // ROWS
+#: Most ids that are broadcast: eight bytes each, some 40 MB as a hash table.
+FEW = 1_000_000
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -200,7 +202,9 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, scratc
 
     ``texts`` is (doc_id, text), one row per representative. Only the texts that occur in a pair are turned to sets.
     """
-    needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    needed = scratch.save(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
+    # so few ids go to every executor and no text is shuffled; of more the texts are dealt by doc_id
+    few = needed.limit(FEW + 1).count() <= FEW
     words = _WordHash()
 
     def to_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +213,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, scratc
                 part = batch.slice(start, n)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_hashes(t, words, size).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["doc_id", "_set"])
 
-    sets = scratch.save(texts.join(needed, "doc_id", "left_semi").mapInArrow(to_sets, "doc_id long, _set binary"))
+    sets = scratch.save(texts.join(F.broadcast(needed) if few else needed, "doc_id", "left_semi").mapInArrow(to_sets, "doc_id long, _set binary"))
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
