@@ -153,9 +153,9 @@ def test_documents(spark, tmp_path):
     assert "### Điều 1. Phạm vi" in out.markdown and "## Quy trình nộp hồ sơ" in out.markdown and documents.NO_TEXT in out.markdown
     assert (out.text_pages, out.ocr_pages, out.total_pages) == (1, 2, 3)
     signals = routing.page_signals(raw.select("doc_id", "page_no", "text", F.when(F.col("page_no") == 2, 50).alias("vector_line_count"), F.lit(0).alias("h_count"), F.lit(0).alias("v_count")))
-    parsed = spark.createDataFrame([("d", 2, "| a | b |\n| --- | --- |\n| c | d |")], "doc_id string, page_no int, markdown string")
+    parsed = spark.createDataFrame([("d", 2, "| Bước | Nội dung |\n| --- | --- |\n| c | d |")], "doc_id string, page_no int, markdown string")
     routed = documents.routed_documents(raw, signals, parsed).first().markdown
-    assert "<!-- extraction: remote_parser -->" in routed and "| a | b |" in routed and "### Điều 1" in routed, routed
+    assert "<!-- extraction: remote_parser -->" in routed and "| Bước | Nội dung |" in routed and "### Điều 1" in routed, routed
     assert documents.routed_pages(signals, Config(table_pages="3")).where("engine = 'remote'").first().page_no == 3
 
 
