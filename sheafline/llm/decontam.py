@@ -7,8 +7,12 @@ and the best window of ``span`` tokens (the whole item if it is shorter) is coun
 ``percent`` of the window's tokens are equal. So replaced tokens are tolerated by hash and by verification, while chance
 hits on a few common words fall short.
 
-Tokens: runs of letters and digits, lower-cased; shorter items than the shortest mask's reach are compared by their whole
-token sequence, as one seed.
+The masks are lossless: whichever tokens of a window are replaced, as long as ``percent`` of them are equal, one mask at
+least hits inside it. Shorter items have lighter masks, and an item's hashes are of its own length's masks only; documents
+are hashed under the masks of the lengths that the benchmark has. Items of one to three tokens must be equal as a whole,
+at any position of a document.
+
+Tokens: runs of letters and digits, lower-cased.
 
 Plan. Document tokens stay in their row: one explode yields positions, hashing and the probe of the benchmark's hash table
 run in the same generated code, and only hits leave it, each with the tokens near it. The benchmark's table is broadcast if it holds at most
@@ -25,24 +29,42 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, spread
 
-#: Fixed masks: offsets of the tokens that count. Any run of 10 tokens with one replaced keeps at least one mask's hit.
-MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 7, 8), (0, 2, 3, 6, 7, 9))
-SHORTEST = 6
+#: (longest window, masks) in rising order; a mask is the offsets of the tokens that count. Every way to keep 75 % of a
+#: window's tokens keeps a hit of one of its masks, as found by search and enumerated in the test.
+MASKS = (
+    (1, ((0,),)),
+    (2, ((0, 1),)),
+    (8, ((0, 1, 2), (0, 1, 3), (0, 2, 3))),
+    (12, ((0, 1, 2, 4), (0, 3, 4, 5))),
+    (13, ((0, 1, 2, 4, 5), (0, 1, 6, 8, 9), (0, 1, 3, 4, 5))),
+)
+#: Items of at least so many tokens are looked for at every position.
+SHORTEST = 1
+
+
+def masks_of(window: int, percent: int) -> tuple[tuple[int, ...], ...]:
+    """Masks that miss no window of which ``percent`` is equal. Beyond MASKS: the run that so few replaced tokens must leave."""
+    if percent >= 75:
+        for longest, masks in MASKS:
+            if window <= longest:
+                return masks
+    equal = -(-window * percent // 100)
+    return (tuple(range(max(1, -(-equal // (window - equal + 1))))),)
 
 
 def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def seeds(words: str, pos: str) -> Column:
-    """The hash under each mask of the tokens from ``pos`` on; a mask that reaches beyond the end gives null."""
-    return F.array(*(F.when(F.col(pos) + mask[-1] < F.size(words), F.xxhash64(F.lit(k), *(F.expr(f"{words}[{pos} + {o}]") for o in mask))) for k, mask in enumerate(MASKS)))
+def seeds(words: str, pos: str, masks: dict[tuple[int, ...], Column]) -> Column:
+    """The hash of the tokens from ``pos`` on under each mask whose condition holds; one that reaches beyond the end gives null."""
+    return F.array(*(F.when(given & (F.col(pos) + mask[-1] < F.size(words)), F.xxhash64(F.lit(k), *(F.expr(f"{words}[{pos} + {o}]") for o in mask))) for k, (mask, given) in enumerate(masks.items())))
 
 
-def item_seeds(items: DataFrame) -> DataFrame:
+def item_seeds(items: DataFrame, masks: dict[tuple[int, ...], Column]) -> DataFrame:
     """(hash, item_no, item_pos) of the distinct token sequences ``items`` (item_no, item_words)."""
     at = items.select("item_no", "item_words", F.explode(F.sequence(F.lit(0), F.size("item_words") - 1)).alias("item_pos"))
-    return at.select("item_no", "item_pos", F.explode(seeds("item_words", "item_pos")).alias("hash")).where("hash is not null")
+    return at.select("item_no", "item_pos", F.explode(seeds("item_words", "item_pos", masks)).alias("hash")).where("hash is not null")
 
 
 def best_window(near: str, items: str, near_at: str, item_at: str, span: int) -> Column:
@@ -67,29 +89,26 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, span: int
     sequences = benchmark.select("item_id", tokens(F.col("text")).alias("item_words")).where(F.size("item_words") > 0)
     owners = sequences.select(F.xxhash64("item_words").alias("item_no"), "item_id", "item_words")
     items = scratch.save(owners.groupBy("item_no").agg(F.first("item_words").alias("item_words")))
-    table = scratch.save(item_seeds(items.where(F.size("item_words") >= SHORTEST)))
+    width = F.least(F.lit(span), F.size("item_words"))
+    # at most ``span`` lengths, and of their masks only those that the benchmark needs
+    windows = sorted(r[0] for r in items.select(width).distinct().collect())
+    used = {mask: [n for n in windows if mask in masks_of(n, percent)] for n in windows for mask in masks_of(n, percent)}
+    table = scratch.save(item_seeds(items, {mask: width.isin(*ns) for mask, ns in used.items()}))
+    probes = dict.fromkeys(used or {(0,): []}, F.lit(True))
     few = table.limit(broadcast_rows + 1).count() <= broadcast_rows
     words = spread(docs.select("doc_id", "text")).select("doc_id", tokens(F.col("text")).alias("words"))
     # a hit leaves the generated code with the tokens around it, never with the whole document's
     start = F.greatest(F.col("pos") - (span - 1), F.lit(0))
     around = [F.slice("words", start + 1, 2 * span).alias("near"), (F.col("pos") - start).alias("near_at")]
     if few:
-        found = words.select("doc_id", "words", F.posexplode("words").alias("pos", "_w")).select("doc_id", "words", "pos", F.explode(seeds("words", "pos")).alias("hash"))
+        found = words.select("doc_id", "words", F.posexplode("words").alias("pos", "_w")).select("doc_id", "words", "pos", F.explode(seeds("words", "pos", probes)).alias("hash"))
         hits = found.join(F.broadcast(table), "hash").select("doc_id", "item_no", "item_pos", *around)
     else:
         keyed = words.withColumn("row", F.xxhash64("doc_id", "words"))
-        found = keyed.select("row", "words", F.posexplode("words").alias("pos", "_w")).select("row", "pos", F.explode(seeds("words", "pos")).alias("hash")).where("hash is not null")
+        found = keyed.select("row", "words", F.posexplode("words").alias("pos", "_w")).select("row", "pos", F.explode(seeds("words", "pos", probes)).alias("hash")).where("hash is not null")
         hits = found.join(table, "hash").join(keyed, "row").select("doc_id", "item_no", "item_pos", *around)
-    # the masks' hits on one position are one
-    hits = hits.distinct().join(F.broadcast(items) if few else items, "item_no")
-    width = F.least(F.lit(span), F.size("item_words"))
+    # chance hits end here: each is verified where it is found, and only pairs that overlap are grouped
+    hits = hits.join(F.broadcast(items) if few else items, "item_no")
     scored = hits.select("doc_id", "item_no", best_window("near", "item_words", "near_at", "item_pos", span).alias("matched"), width.alias("of"))
     pairs = scored.where(F.col("matched") * 100 >= F.col("of") * percent).groupBy("doc_id", "item_no").agg(F.max("matched").alias("matched"), F.max("of").alias("of"))
-    short = short_items(words, items)
-    return pairs.unionByName(short).join(owners.select("item_no", "item_id"), "item_no").select("doc_id", "item_id", "matched", "of")
-
-
-def short_items(words: DataFrame, items: DataFrame) -> DataFrame:
-    """Items of fewer tokens than a seed reaches: documents of exactly these tokens."""
-    brief = items.where(F.size("item_words") < SHORTEST)
-    return words.where(F.size("words") < SHORTEST).join(brief, F.xxhash64("words") == F.col("item_no")).select("doc_id", "item_no", F.size("words").alias("matched"), F.size("words").alias("of")).distinct()
+    return pairs.join(owners.select("item_no", "item_id"), "item_no").select("doc_id", "item_id", "matched", "of")

@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import itertools
 import random
 import re
 
@@ -142,6 +143,42 @@ def test_overlaps(spark, rows):
 URLS = [None, "no scheme", "http://WWW.Example.com/en/1", "https://a.example.com/en/1?x=/fr/", "http://example.com/de/", "http://x.net/es/a", "http://x.net/en/a", "http://net/fr/", "http://badnet/fr/", "ftp://y.org#/en/", "http://z.com", "https://casino-win.example.org/a?b=1&c=2", "://"]
 
 
+def test_masks_are_lossless():
+    for n in range(1, 14):
+        replaced = n - -(-n * 75 // 100)
+        for gone in itertools.combinations(range(n), replaced):
+            kept = set(range(n)) - set(gone)
+            assert any(kept.issuperset(a + o for o in mask) for mask in decontam.masks_of(n, 75) for a in range(n)), (n, gone)
+    for n, percent in ((20, 75), (16, 90), (9, 60)):
+        equal = -(-n * percent // 100)
+        for gone in itertools.islice(itertools.combinations(range(n), n - equal), 20_000):
+            kept = set(range(n)) - set(gone)
+            assert any(kept.issuperset(a + o for o in mask) for mask in decontam.masks_of(n, percent) for a in range(n)), (n, gone)
+
+
+@pytest.mark.parametrize("rows", [1_000_000, 0])
+def test_overlaps_equal_brute_force(spark, rows):
+    rng = random.Random(12)
+    lengths = [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 13, 14, 20, 30]
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(n))) for i, n in enumerate(lengths)]
+    docs = []
+
+    def add(part):
+        pad = [[f"x{rng.randrange(10**6)}" for _ in range(rng.choice((0, 3)))] for _ in range(2)]
+        docs.append((len(docs), " ".join(pad[0] + part + pad[1])))
+
+    for i, n in enumerate(lengths):
+        for _ in range(6):
+            part = items[i][1].split()
+            for k in rng.sample(range(n), min(n, n - -(-n * 75 // 100) + rng.randint(-1, 1)) if n > 3 else rng.randint(0, 1)):
+                part[k] = "changed"
+            add(part)
+    for phase in range(5):  # every fifth token replaced: 11 of 13 are equal
+        add(["changed" if k % 5 == phase else w for k, w in enumerate(items[-1][1].split())])
+    got = {(r.doc_id, r.item_id) for r in decontam.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), Scratch(spark, "t"), broadcast_rows=rows).collect()}
+    assert got == leaks_brute(docs, items) and {(d, len(items) - 1) for d in range(len(docs) - 5, len(docs))} <= got
+
+
 def test_url_rules(spark):
     df = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)], "page_id int, url string").withColumn("path", F.lit("clash"))
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge(df, urlfilter.Trees(None, {}, 0.0)).collect()}
