@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import itertools
+import math
 import random
 import re
 
@@ -96,6 +97,13 @@ def test_sketches_fill_and_estimate():
     assert abs(np.mean(near) - 0.8) < 0.03
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketch_floor_loses_no_more_than_the_bands(percent):
+    n, s = minhash.COORDINATES, percent / 100
+    below = sum(math.comb(n, k) * s**k * (1 - s) ** (n - k) for k in range(minhash._sketch_floor(s)))
+    assert below <= (1 - s**minhash.ROWS) ** minhash.BANDS
+
+
 def leaks_brute(docs, items, span=13, percent=75):
     cut = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
     out = set()
