@@ -12,8 +12,9 @@ only at buckets that still hold more than one component, and there only at pairs
 well enough, all verified on the full sets: the second at each member's nearest one outside its component (again no more
 rows than members), which joins nearly all that belongs together, the third at whatever pairs are then left. Pairs inside
 a component can't change the result, so no candidate is given up for them, and a group of thousands of copies never
-makes the pairs of its members. Buckets of
-more than ``large`` members are first split by each further band they also agree on, which separates chance neighbours.
+makes the pairs of its members. Buckets of more than ``large`` members are cut to blocks of about that many, and each two
+blocks are compared as a bucket of their own, so the work is dealt over many tasks and every pair of members still meets.
+There a member has a nearest one for each other block, and its row goes to each: rows grow with members^2 / ``large``.
 
 Lost per pair of similarity s at the threshold: no equal band with a probability of about (1 - s^4)^20, 4e-7 at 0.85 and
 3e-5 at 0.8, and besides an agreement of the sketches below the floor of all rounds, 2e-7 at 0.85 and 1e-7 at 0.8.
@@ -198,6 +199,16 @@ def across(rows: DataFrame, threshold: float, nearest: bool) -> DataFrame:
     return rows.select("key", "doc_id", "root", "_n", "_sketch").repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
+def block_pairs(members: DataFrame, large: int) -> DataFrame:
+    """``members`` (key, doc_id, members, ...) of larger buckets dealt to blocks, a row for each other block with a key of
+    the two; any two members of a bucket share a key. Smaller buckets stay as they are."""
+    blocks = F.ceil(F.col("members") / large).cast("int")
+    dealt = members.where(F.col("members") > large).withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.xxhash64("doc_id"), "_blocks").cast("int"))
+    paired = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).where("_other != _block")
+    paired = paired.withColumn("key", F.xxhash64("key", F.least("_block", "_other"), F.greatest("_block", "_other")))
+    return members.where(F.col("members") <= large).unionByName(paired.select(members.columns))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
     """The (a, b) of ``pairs`` with 100 * intersection >= percent * union on the full sets.
 
@@ -264,10 +275,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, scratch: Scratch, size
         rooted = shared.join(roots, shared["doc_id"] == roots["node"], "left").select("key", "band", "doc_id", F.coalesce("root", "doc_id").alias("root"))
         mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low < high").select("key", "members")
         members = rooted.join(mixed, "key").join(nodes, "doc_id")
-        small = members.where(F.col("members") <= large)
-        other = shared.select(F.col("doc_id").alias("_other"), F.col("band").alias("_band"), F.col("key").alias("_key"))
-        split = members.where(F.col("members") > large).join(other, F.col("doc_id") == F.col("_other")).where("band != _band").withColumn("key", F.xxhash64("key", "_key"))
-        return across(small.select("key", "doc_id", "root", "_n", "_sketch").unionByName(split.select("key", "doc_id", "root", "_n", "_sketch")), threshold, nearest).distinct()
+        return across(block_pairs(members, large), threshold, nearest).distinct()
 
     # second round: each member with the nearest outside its component; third round: all that is left between components
     second = scratch.save(candidates(roots, True).join(first, ["a", "b"], "left_anti"))

@@ -97,6 +97,32 @@ def test_sketches_fill_and_estimate():
     assert abs(np.mean(near) - 0.8) < 0.03
 
 
+def test_near_duplicates_of_a_large_bucket_with_one_equal_band(spark):
+    """Two similar texts agree in one band only, and texts unlike them and each other fill its bucket beyond ``large``."""
+    words, percent = minhash._WordHash(), 30
+    full = lambda ws: minhash.sketch([minhash.shingle_hashes(" ".join(ws), words, 1)])[0]
+    equal = lambda x, y: [b for b in range(minhash.BANDS) if all(x[b * minhash.ROWS + j] == y[b * minhash.ROWS + j] for j in range(minhash.ROWS))]
+    for trial in range(5000):
+        common = [f"c{trial}x{i}" for i in range(100)]
+        x, y = (common + [f"{side}{trial}x{i}" for i in range(105)] for side in "uv")
+        fx = full(x)
+        band = equal(fx, full(y))
+        if len(band) == 1:
+            break
+    needed = [w for w in common if band[0] not in equal(fx, full([v for v in x if v != w]))]
+    fill = []
+    for k in range(5000):
+        f = needed + [f"f{k}x{i}" for i in range(25)]
+        if band == equal(fx, full(f)):
+            fill.append(f)
+        if len(fill) == 8:
+            break
+    assert len(fill) == 8
+    rows = [(i, " ".join(f)) for i, f in enumerate([*fill, x, y])]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t"), 1, percent, 3).collect()}
+    assert got == near_brute(rows, 1, percent) and got[9][1] == 8
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_sketch_floor_loses_no_more_than_the_bands(percent):
     n, s = minhash.COORDINATES, percent / 100
