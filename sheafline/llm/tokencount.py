@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .bpe import encoder
+from .bpe import encoder, ids_of
 from .common import add_text_columns
 
 COUNTED = T.ArrayType(T.StructType([T.StructField("section", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_crossing", T.LongType())]))
@@ -29,13 +29,9 @@ def line_sections(text: str) -> list[tuple[str, int, int]]:
     return [("title", 0, cut), ("body", cut, len(text))]
 
 
-def token_ends(ids: list[int], length: dict[int, int]) -> np.ndarray:
-    return np.cumsum(np.fromiter((length[i] for i in ids), np.int64, len(ids)))
-
-
-def attribute(text: str, ids: list[int], length: dict[int, int], sections: list[tuple[str, int, int]], rule: str = "first") -> list[dict]:
+def attribute(text: str, ids: np.ndarray, length: np.ndarray, sections: list[tuple[str, int, int]], rule: str = "first") -> list[dict]:
     """Sections with their counts; character spans (start, end) of ``sections`` may leave gaps but not overlap."""
-    ends = token_ends(ids, length)
+    ends = np.cumsum(length[ids])
     starts = np.concatenate([[0], ends[:-1]]) if len(ids) else ends
     data = np.frombuffer(text.encode(), np.uint8)
     lead = (data & 0xC0) != 0x80
@@ -71,7 +67,7 @@ def attribute(text: str, ids: list[int], length: dict[int, int], sections: list[
 
 
 def count_sections(df: DataFrame, path: str, pattern: str, text: str = "text", rule: str = "first", sections=line_sections) -> DataFrame:
-    """Append ``sections``: array of (section, start, end, n_tokens, n_crossing). ``sections(text)`` gives (name, start, end)s."""
+    """Replace the text by ``sections``: array of (section, start, end, n_tokens, n_crossing). ``sections(text)`` gives (name, start, end)s."""
     if rule not in ("first", "last", "most"):
         raise ValueError(f"no such rule: {rule}")
 
@@ -79,8 +75,8 @@ def count_sections(df: DataFrame, path: str, pattern: str, text: str = "text", r
         enc = encoder(path, pattern)
 
         def run(texts: list) -> dict:
-            return {"sections": [attribute(t or "", enc.ids(t or ""), enc.fst.length, sections(t or ""), rule) for t in texts]}
+            return {"sections": [attribute(t or "", ids_of(j), enc.fst.length, sections(t or ""), rule) for t, j in zip(texts, enc.joined([t or "" for t in texts]))]}
 
         return run
 
-    return add_text_columns(df, text, [T.StructField("sections", COUNTED)], make)
+    return add_text_columns(df, text, [T.StructField("sections", COUNTED)], make, keep_text=False)
