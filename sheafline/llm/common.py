@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
 import shutil
 import tempfile
 import uuid
@@ -24,10 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a temporary one only where that is unset, as in tests."""
+    """The folder all executors share (``spark.checkpoint.dir``). Where that is unset a temporary one, for a local master only."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if at:
         return at.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not _local_scratch:
         _local_scratch.append(tempfile.mkdtemp(prefix="sheafline-"))
         atexit.register(shutil.rmtree, _local_scratch[0], True)
@@ -54,6 +57,42 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class BoundedCache(dict):
+    """What ``make`` gives for a key (str or bytes), remembered within about ``limit`` bytes.
+
+    Two generations: once the young one holds half of the limit it becomes the old one, and what is asked again moves to
+    the new young one, so frequent keys stay and rare ones go.
+    """
+
+    #: Bytes of an entry besides the key: dictionary slots, object headers, a small value.
+    entry, limit = 160, 48 << 20
+
+    def __init__(self):
+        super().__init__()
+        self.held, self.old = 0, {}
+
+    def make(self, key):
+        raise NotImplementedError
+
+    def weight(self, key, value) -> int:
+        return len(key) + self.entry
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        n = self.weight(key, value)
+        if n > self.limit >> 5:
+            return value  # one long key doesn't push out all others
+        self.held += n
+        if self.held > self.limit >> 1:
+            self.old = dict(self)
+            self.clear()
+            self.held = n
+        self[key] = value
+        return value
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows over all cores if the scan has fewer splits than cores (small files); a large scan is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -72,16 +111,18 @@ def slices(lengths: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths) - start
 
 
-def add_text_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Callable[[], Callable[[list], dict]], limit: int = 4 << 20) -> DataFrame:
-    """Append columns computed from ``text``; every other column passes through unchanged.
+def add_text_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Callable[[], Callable[[list], dict]], limit: int = 4 << 20, keep_text: bool = True) -> DataFrame:
+    """Append columns computed from ``text``; every other column passes through unchanged, ``text`` only with ``keep_text``.
 
     ``make()`` is called once per task and gives a function from a list of texts (None for null) to a dict of column lists.
     It sees whole texts, at most about ``limit`` bytes of them at once, so memory is bounded by that or the longest text.
     Columns of ``df`` that bear a new column's name are replaced.
     """
     df = df.drop(*(f.name for f in fields))
-    schema = T.StructType([*df.schema.fields, *fields])
-    at, names = df.columns.index(text), schema.names
+    at = df.columns.index(text)
+    passing = [i for i in range(len(df.columns)) if keep_text or i != at]
+    schema = T.StructType([*(df.schema.fields[i] for i in passing), *fields])
+    names = schema.names
     kinds = [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +132,7 @@ def add_text_columns(df: DataFrame, text: str, fields: list[T.StructField], make
             for start, n in slices(pc.binary_length(batch.column(at)), limit):
                 part = batch.slice(start, n)
                 made = fn(part.column(at).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(made[f.name], k) for f, k in zip(fields, kinds))], names=names)
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in passing), *(pa.array(made[f.name], k) for f, k in zip(fields, kinds))], names=names)
 
     return df.mapInArrow(run, schema)
 
@@ -101,16 +142,20 @@ def held_out(df: DataFrame, folds: int, fold: int):
     return F.coalesce(F.crc32(df["doc_id"].cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def components(spark: SparkSession, edges: DataFrame, scratch: Scratch, most: int = 60) -> DataFrame:
+def components(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root): the smallest node reachable over the undirected ``edges`` (a, b); nodes without an edge are absent.
 
     Alternates large-star and small-star steps (Kiveris et al., 2014), each written to the shared folder, until a step
     changes nothing. Rows per step stay within the number of edges, and each step is grouped by node with partial
     aggregation: the star's neighbours are never gathered into a list.
     """
-    both = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
-    current = scratch.save(both)
-    for _ in range(most):
+
+    def digest(df: DataFrame):
+        return df.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
+
+    current = scratch.save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
+    before = digest(current)
+    while before[0]:
         # large star: each neighbour above a node is hung on the node's smallest neighbour (or on itself)
         around = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -120,11 +165,10 @@ def components(spark: SparkSession, edges: DataFrame, scratch: Scratch, most: in
         hung = large.join(low, "u")
         small = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         after = scratch.save(small)
-        same = after.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first() == current.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
+        now = digest(after)
         scratch.drop(current)
         current = after
-        if same:
+        if now == before:
             break
-    else:
-        raise RuntimeError(f"components did not settle in {most} steps")
+        before = now
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -6,22 +6,21 @@ j; each keeps the least i + value, and rounds stop once no coordinate is empty.
 of equal coordinates of two sketches is concentrated about t times the Jaccard similarity as it is for t minima.
 
 Plan. Equal sets collapse to their smallest doc_id first, so copies cost one row each from then on. Representatives are
-dealt by bands of the sketch. A first round of candidates pairs each member of a bucket with the bucket's smallest member
-(never more rows than members), verifies them on the full sets and joins what holds into components. Later rounds look
-only at buckets that still hold more than one component, and there only at pairs across components whose sketches agree
-well enough, all verified on the full sets: the second at each member's nearest one outside its component (again no more
-rows than members), which joins nearly all that belongs together, the third at whatever pairs are then left. Pairs inside
-a component can't change the result, so no candidate is given up for them, and a group of thousands of copies never
-makes the pairs of its members. Buckets of more than ``large`` members are cut to blocks of about that many, and each two
-blocks are compared as a bucket of their own, so the work is dealt over many tasks and every pair of members still meets.
-There a member has a nearest one for each other block, and its row goes to each: rows grow with members^2 / ``large``.
-
-Lost per pair of similarity s at the threshold: no equal band with a probability of about (1 - s^4)^20, 4e-7 at 0.85 and
-3e-5 at 0.8, and besides an agreement of the sketches below the floor of all rounds, 2e-7 at 0.85 and 1e-7 at 0.8.
+dealt by bands of the sketch. All buckets with the same smallest member become one group, so a document comes once into a
+group however many bands it shares with that member, and every two members of a bucket still meet. The members' full sets
+are dealt by group, and one task compares all pairs of its group exactly, as popcounts of bit rows over the shingles that
+two or more of them have; it emits a spanning forest of the links that hold, at most a row per member. No pair is a row
+anywhere, and no candidate is judged by its sketch. Groups of more than ``large`` members, or of more shingles than
+``weight``, are cut to blocks, and each two blocks are compared as a group of their own, so their work is dealt over many
+tasks; a member's row then goes to each other block. Components of all forests together are made once, at the end.
+
+Lost per pair of similarity s: only where no band is equal, (1 - s^6)^36, which is 4e-8 at 0.85 and 2e-5 at 0.8.
 
 Defined results: a null or empty text, or one without words, has no shingles, no links, and is its own component; fewer
 words than a shingle make one shingle; rows with a null doc_id take no part in links and get component_id null, kept
-true; repeated rows of one doc_id count as one document and keep all their rows. Extra columns are ignored.
+true; repeated rows of one doc_id count as one document and keep all their rows; of equal similarities none is preferred,
+every link counts; an empty table gives no rows. Texts of any length are compared on all their shingles. Extra columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,12 +35,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, add_text_columns, components, slices, spread
+from .common import BoundedCache, Scratch, add_text_columns, components, slices, spread
 
-COORDINATES, ROWS = 80, 4
-BANDS = COORDINATES // ROWS
+ROWS, BANDS = 6, 36
+COORDINATES = ROWS * BANDS
 #: Most ids that are broadcast: eight bytes each, some 40 MB as a hash table.
 FEW = 1_000_000
+#: Bytes of a group's bit rows that are made at once.
+BITS = 32 << 20
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -53,12 +54,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+class _WordHash(BoundedCache):
+    def make(self, word: bytes) -> int:
+        return xxhash.xxh64_intdigest(word)
 
 
 def shingle_hashes(text: str | None, words: _WordHash, size: int) -> np.ndarray:
@@ -79,7 +77,7 @@ def sketch(sets: list[np.ndarray], t: int = COORDINATES) -> np.ndarray:
     """One row of t 64-bit coordinates for each nonempty set; rows of empty sets are zero."""
     out = np.zeros((len(sets), t), np.uint64)
     live = np.array([i for i, s in enumerate(sets) if len(s)], np.int64)
-    low = np.uint64((1 << 56) - 1)
+    low = np.uint64((1 << 54) - 1)
     for r in range(2 * t):
         if not len(live):
             break
@@ -87,7 +85,7 @@ def sketch(sets: list[np.ndarray], t: int = COORDINATES) -> np.ndarray:
         row = np.repeat(np.arange(len(live)), sizes)
         h = mix(np.concatenate([sets[i] for i in live]) + np.uint64((r + 1) * int(_M3) & 0xFFFFFFFFFFFFFFFF))
         to = (h >> np.uint64(32)) % np.uint64(t) if r < t else np.full(len(h), r - t, np.uint64)
-        value = (np.uint64(r) << np.uint64(56)) | (mix(h + _M2) & low)  # the round outweighs the value: round + value / 2^56
+        value = (np.uint64(r) << np.uint64(54)) | (mix(h + _M2) & low)  # the round outweighs the value: round + value / 2^54
         cell = row * t + to.astype(np.int64)
         best = np.full(len(live) * t, np.iinfo(np.uint64).max, np.uint64)
         np.minimum.at(best, cell, value)
@@ -98,197 +96,147 @@ def sketch(sets: list[np.ndarray], t: int = COORDINATES) -> np.ndarray:
     return out
 
 
-FIELDS = [T.StructField("n_shingles", T.LongType()), T.StructField("_set_hash", T.BinaryType()), T.StructField("_sketch", T.BinaryType()), T.StructField("_bands", T.ArrayType(T.LongType()))]
+FIELDS = [T.StructField("n_shingles", T.LongType()), T.StructField("_set_hash", T.BinaryType()), T.StructField("_bands", T.ArrayType(T.LongType()))]
+
+
+def band_keys(full: np.ndarray) -> np.ndarray:
+    """A 64-bit key per band of each sketch; equal bands have equal keys, and no two bands share theirs."""
+    keys = np.zeros((len(full), BANDS), np.uint64)
+    for j in range(ROWS):
+        keys = mix(keys * _M3 + full[:, j::ROWS] + np.uint64(j))
+    return mix(keys + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
 def with_sketches(df: DataFrame, size: int, text: str = "text") -> DataFrame:
-    """Append n_shingles, _set_hash (128 bits of the set), _sketch (16 bits a coordinate) and _bands (a hash per band)."""
+    """Replace the text by n_shingles, _set_hash (128 bits of the set) and _bands (a key per band); null without shingles."""
 
     def make():
         words = _WordHash()
 
         def run(texts: list) -> dict:
             sets = [shingle_hashes(t, words, size) for t in texts]
-            full = sketch(sets)
-            bands = np.zeros((len(sets), BANDS), np.uint64)
-            for j in range(ROWS):
-                bands = mix(bands * _M3 + full[:, j::ROWS][:, :BANDS] + np.uint64(j))
-            bands = mix(bands + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
-            short = (mix(full) & np.uint64(0xFFFF)).astype(np.uint16)
-            return {"n_shingles": [len(s) for s in sets], "_set_hash": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], "_sketch": [x.tobytes() if len(s) else None for x, s in zip(short, sets)], "_bands": [x.tolist() if len(s) else None for x, s in zip(bands, sets)]}
+            keys = band_keys(sketch(sets))
+            return {"n_shingles": [len(s) for s in sets], "_set_hash": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], "_bands": [x.tolist() if len(s) else None for x, s in zip(keys, sets)]}
 
         return run
 
-    return add_text_columns(df, text, FIELDS, make)
+    return add_text_columns(df, text, FIELDS, make, keep_text=False)
 
 
-def _sketch_floor(threshold: float) -> int:
-    """Equal coordinates below which a pair at the threshold falls with a probability of under 4e-7: 5.5 deviations."""
-    return int(COORDINATES * threshold - 5.5 * (COORDINATES * threshold * (1 - threshold)) ** 0.5)
+def linked(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between members: pairs (a, b) with 100 * intersection >= percent * union.
 
-
-def agreeing(pairs: DataFrame, threshold: float) -> DataFrame:
-    """The (a, b) of which the sketches _sa, _sb agree and the sizes _na, _nb permit the threshold."""
-    floor = _sketch_floor(threshold)
+    Exact for every pair: shingles of one member only are left out of intersections, all others are columns of bit rows,
+    made for ``BITS`` bytes of columns at a time.
+    """
+    n, sizes = len(ids), np.array([len(s) for s in sets])
+    if n == 2:
+        x, y = sorted(sets, key=len)
+        both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+        return [(ids[0], ids[1])] if 100 * both >= percent * (int(sizes.sum()) - both) and ids[0] != ids[1] else []
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1
+    many = count[column] > 1
+    row, column = np.repeat(np.arange(n), sizes)[many], number[column[many]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    columns = int(number[-1]) + 1
+    both, wide = np.zeros((n, n), np.int32), max(64, min(BITS // n, columns + 63) // 64 * 64)
+    for low in range(0, columns, wide):
+        part = slice(*np.searchsorted(column, (low, low + wide)))
+        cells = np.zeros((n, wide), bool)
+        cells[row[part], column[part] - low] = True
+        bits = np.packbits(cells, axis=1).view(np.uint64)
+        for i in range(n - 1):
+            both[i, i + 1 :] += np.bitwise_count(bits[i] & bits[i + 1 :]).sum(1, dtype=np.int32)
+    out, root = [], np.arange(n)
+    for i in range(n - 1):
+        near = i + 1 + np.flatnonzero(100 * both[i, i + 1 :].astype(np.int64) >= percent * (sizes[i] + sizes[i + 1 :] - both[i, i + 1 :]))
+        while len(near := near[root[near] != root[i]]):
+            out.append((ids[i], ids[near[0]]))
+            root[root == root[near[0]]] = root[i]
+    return [x for x in out if x[0] != x[1]]
+
+
+def forests(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links among the ``members`` (key, doc_id, _set) of each key.
+
+    Rows come sorted by key within a partition, so a task holds one group at a time.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, COORDINATES) for c in ("_sa", "_sb"))
-                yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= floor))
-
-    fits = F.least("_na", "_nb") >= F.greatest("_na", "_nb") * threshold
-    return pairs.where(fits).select("a", "b", "_sa", "_sb").mapInArrow(run, "a long, b long")
-
+        now, ids, sets = None, [], []
 
-def across(rows: DataFrame, threshold: float, nearest: bool) -> DataFrame:
-    """(a, b) of rows (key, doc_id, root, _n, _sketch) that share a key, differ in root, and agree in sketch; with
-    ``nearest`` only each row's best agreeing one, so no more pairs than rows.
+        def done() -> pa.RecordBatch:
+            found = linked(ids, sets, percent) if len(ids) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([min(x) for x in found], pa.int64()), pa.array([max(x) for x in found], pa.int64())], names=["a", "b"])
 
-    The rows come sorted by key within a partition, so one pass over the partition sees each bucket's rows together; they
-    are compared in blocks of sketches, and only agreeing pairs are emitted.
-    """
-    floor, block = _sketch_floor(threshold), 512
-
-    def emit(ids, roots, sizes, sketches) -> Iterator[pa.RecordBatch]:
-        order = np.argsort(roots, kind="stable")
-        ids, roots, sizes, sketches = ids[order], roots[order], sizes[order], sketches[order]
-        after = np.searchsorted(roots, roots, "right")  # the first row of a later component
-        best, partner = np.full(len(ids), floor - 1), np.zeros(len(ids), np.int64)
-        for i in range(0, len(ids), block):
-            part = slice(i, i + block)
-            for j in range(int(after[i]) // block * block, len(ids), block):
-                other = slice(j, j + block)
-                open_ = (roots[part, None] < roots[None, other]) & (np.minimum(sizes[part, None], sizes[None, other]) >= threshold * np.maximum(sizes[part, None], sizes[None, other]))
-                x, y = np.nonzero(open_)
-                if not len(x):
-                    continue
-                score = np.concatenate([(sketches[x[k : k + (1 << 16)] + i] == sketches[y[k : k + (1 << 16)] + j]).sum(axis=1) for k in range(0, len(x), 1 << 16)])
-                if nearest:
-                    all_ = np.full(open_.shape, -1)
-                    all_[x, y] = score
-                    for axis, mine, base in ((1, part, j), (0, other, i)):
-                        top, at = all_.max(axis), all_.argmax(axis) + base
-                        better = top > best[mine]
-                        best[mine], partner[mine] = np.where(better, top, best[mine]), np.where(better, at, partner[mine])
-                elif (same := score >= floor).any():
-                    yield batch_of(ids[x[same] + i], ids[y[same] + j])
-        if nearest and (found := best >= floor).any():
-            yield batch_of(ids[found], ids[partner[found]])
-
-    def batch_of(a, b) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            ids, roots, sizes = (batch.column(c).to_numpy(zero_copy_only=False) for c in (1, 2, 3))
-            sketches = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint16).reshape(-1, COORDINATES)
-            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                if held and held[0][0] != keys[lo]:
-                    yield from emit(*(np.concatenate(c) for c in zip(*(h[1:] for h in held))))
-                    held = []
-                held.append((keys[lo], ids[lo:hi], roots[lo:hi], sizes[lo:hi], sketches[lo:hi]))
-        if held:
-            yield from emit(*(np.concatenate(c) for c in zip(*(h[1:] for h in held))))
-
-    return rows.select("key", "doc_id", "root", "_n", "_sketch").repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
-
-
-def block_pairs(members: DataFrame, large: int) -> DataFrame:
-    """``members`` (key, doc_id, members, ...) of larger buckets dealt to blocks, a row for each other block with a key of
-    the two; any two members of a bucket share a key. Smaller buckets stay as they are."""
-    blocks = F.ceil(F.col("members") / large).cast("int")
-    dealt = members.where(F.col("members") > large).withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.xxhash64("doc_id"), "_blocks").cast("int"))
-    paired = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).where("_other != _block")
-    paired = paired.withColumn("key", F.xxhash64("key", F.least("_block", "_other"), F.greatest("_block", "_other")))
-    return members.where(F.col("members") <= large).unionByName(paired.select(members.columns))
-
-
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
-    """The (a, b) of ``pairs`` with 100 * intersection >= percent * union on the full sets.
-
-    ``texts`` is (doc_id, text), one row per representative. Only the texts that occur in a pair are turned to sets.
-    """
-    needed = scratch.save(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
-    # so few ids go to every executor and no text is shuffled; of more the texts are dealt by doc_id
-    few = needed.limit(FEW + 1).count() <= FEW
-    words = _WordHash()
+            for key, doc, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if key != now:
+                    yield done()
+                    now, ids, sets = key, [], []
+                ids.append(doc)
+                sets.append(np.frombuffer(data.as_py(), np.uint64))
+        yield done()
 
-    def to_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, n in slices(pc.binary_length(batch.column(1)), 4 << 20):
-                part = batch.slice(start, n)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_hashes(t, words, size).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["doc_id", "_set"])
+    return members.select("key", "doc_id", "_set").repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
-    sets = scratch.save(texts.join(F.broadcast(needed) if few else needed, "doc_id", "left_semi").mapInArrow(to_sets, "doc_id long, _set binary"))
 
-    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("_set").alias("_x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("_set").alias("_y")), "b")
-    out = scratch.save(joined.select("a", "b", "_x", "_y").mapInArrow(check, "a long, b long"))
-    scratch.drop(sets)
-    return out
+def in_blocks(members: DataFrame, groups: DataFrame, large: int, weight: int) -> DataFrame:
+    """``members`` (low, doc_id, _set) with a key of the group, or of two of its blocks; any two members share a key.
+
+    ``groups`` (low, members, shingles) names those that are cut. A block has about a 16th of the group's members, but no
+    less than half of ``large`` and no more than 1,500, and about half of ``weight`` shingles at most.
+    """
+    block = F.least(F.greatest(F.col("members") / 16, F.lit(large / 2)), F.lit(1500.0))
+    cut = groups.select("low", F.greatest(F.ceil(F.col("members") / block), F.ceil(2 * F.col("shingles") / weight), F.lit(3)).cast("int").alias("_blocks"))
+    dealt = members.join(cut, "low", "left").withColumn("_block", F.pmod(F.xxhash64("doc_id"), "_blocks").cast("int"))
+    others = F.when(F.col("_blocks").isNull(), F.array(F.lit(-1))).otherwise(F.filter(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda k: k != F.col("_block")))
+    paired = dealt.select("low", "doc_id", "_set", "_block", F.explode(others).alias("_other"))
+    return paired.select(F.xxhash64("low", F.least("_block", "_other"), F.greatest("_block", "_other")).alias("key"), "doc_id", "_set")
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, scratch: Scratch, size: int = 5, percent: int = 80, large: int = 2000) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, scratch: Scratch, size: int = 5, percent: int = 80, large: int = 600, weight: int = 2_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs`` (doc_id, text)."""
-    threshold = percent / 100
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketched = scratch.save(with_sketches(spread(docs), size).drop("text"))
+    sketched = scratch.save(with_sketches(spread(docs), size))
     live = sketched.where("doc_id is not null and n_shingles > 0")
-    classes = live.groupBy("_set_hash").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("_n"), F.first("_sketch").alias("_sketch"), F.first("_bands").alias("_bands"))
-    classes = scratch.save(classes)
-    # a doc_id repeated with different texts can stand for two sets; its rows are one node of the links
-    nodes = classes.select(F.col("rep").alias("doc_id"), "_n", "_sketch")
-    keys = classes.select(F.col("rep").alias("doc_id"), F.posexplode("_bands").alias("band", "key"))
-    sizes = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    texts = docs.where("doc_id is not null")
-
+    repeated = _repeats(live)
+    classes = scratch.save(live.groupBy("_set_hash").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("_n"), F.first("_bands").alias("_bands")))
+    keys = classes.select(F.col("rep").alias("doc_id"), "_n", F.explode("_bands").alias("key"))
+    lows = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("key", "low")
     # buckets of one member are most of them, and go here
-    shared = scratch.save(keys.join(sizes, "key").select("key", "band", "doc_id", "low"))
-    # first round: each member with its bucket's smallest
-    stars = shared.where("doc_id > low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
-    side = lambda x: nodes.select(F.col("doc_id").alias(x), F.col("_n").alias(f"_n{x}"), F.col("_sketch").alias(f"_s{x}"))
-    first = scratch.save(agreeing(stars.join(side("a"), "a").join(side("b"), "b"), threshold).distinct())
-    links = verified(first, texts, size, percent, scratch)
-    # rows that share a doc_id, and copies, hang together besides
-    same = live.select("doc_id", "_set_hash").join(classes.select("_set_hash", "rep"), "_set_hash").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).where("a < b")
-    roots = scratch.save(components(spark, links, scratch))
-
-    def candidates(roots: DataFrame, nearest: bool) -> DataFrame:
-        """Pairs across components in the buckets that hold several."""
-        rooted = shared.join(roots, shared["doc_id"] == roots["node"], "left").select("key", "band", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-        mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low < high").select("key", "members")
-        members = rooted.join(mixed, "key").join(nodes, "doc_id")
-        return across(block_pairs(members, large), threshold, nearest).distinct()
-
-    # second round: each member with the nearest outside its component; third round: all that is left between components
-    second = scratch.save(candidates(roots, True).join(first, ["a", "b"], "left_anti"))
-    links = scratch.save(links.unionByName(verified(second, texts, size, percent, scratch)))
-    roots = scratch.save(components(spark, links, scratch))
-    third = scratch.save(candidates(roots, False).join(first.unionByName(second), ["a", "b"], "left_anti"))
-    linked = links.unionByName(verified(third, texts, size, percent, scratch))
-    final = scratch.save(components(spark, linked.unionByName(same) if _repeats(live) else linked, scratch))
+    shared = scratch.save(keys.join(lows, "key").select("low", "doc_id", "_n").distinct())
+    sizes = shared.groupBy("low").agg(F.count("*").alias("members"), F.sum("_n").alias("shingles"))
+    groups = scratch.save(sizes.where((F.col("members") > large) | (F.col("shingles") > weight)))
+    sets = scratch.save(sets_of(docs, scratch.save(shared.select("doc_id").distinct()), size, repeated))
+    links = forests(in_blocks(shared.select("low", "doc_id").distinct().join(sets, "doc_id"), groups, large, weight), percent)
+    if repeated:  # rows that share a doc_id hang together besides
+        same = live.select("doc_id", "_set_hash").join(classes.select("_set_hash", "rep"), "_set_hash").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).where("a < b")
+        links = links.unionByName(same)
+    final = components(spark, scratch.save(links), scratch)
     byclass = classes.select("_set_hash", "rep").join(final, F.col("rep") == F.col("node"), "left").select("_set_hash", F.coalesce("root", "rep").alias("_root"))
     out = sketched.join(byclass, "_set_hash", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def sets_of(docs: DataFrame, needed: DataFrame, size: int, repeated: bool) -> DataFrame:
+    """(doc_id, _set) of the ``docs`` that are ``needed`` (doc_id), a row per distinct set of a doc_id."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _WordHash()
+        for batch in batches:
+            for start, n in slices(pc.binary_length(batch.column(1)), 4 << 20):
+                part = batch.slice(start, n)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_hashes(t, words, size).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["doc_id", "_set"])
+
+    # so few ids go to every executor and no text is shuffled; of more the texts are dealt by doc_id
+    few = needed.limit(FEW + 1).count() <= FEW
+    out = docs.join(F.broadcast(needed) if few else needed, "doc_id", "left_semi").mapInArrow(run, "doc_id long, _set binary").where("octet_length(_set) > 0")
+    return out.distinct() if repeated else out
+
+
 def _repeats(live: DataFrame) -> bool:
-    """Whether some doc_id stands for more than one set."""
-    return bool(live.groupBy("doc_id").agg(F.min("_set_hash").alias("x"), F.max("_set_hash").alias("y")).where("x != y").limit(1).count())
+    """Whether some doc_id stands for more than one row."""
+    return bool(live.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count())
