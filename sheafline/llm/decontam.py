@@ -15,15 +15,20 @@ at any position of a document.
 Tokens: runs of letters and digits, lower-cased.
 
 Plan. Document tokens stay in their row: one explode yields positions, hashing and the probe of the benchmark's hash table
-run in the same generated code, and only hits leave it, each with the tokens near it. The benchmark's table is broadcast if it holds at most
+run in the same generated code, and only hits leave it. A hit takes along the tokens beside its block of the item, which are the same
+for all hits of a diagonal there, so hits are made distinct before any is verified. The benchmark's table is broadcast if it holds at most
 ``broadcast_rows`` rows (checked by counting); beyond that hashes are shuffled, and texts are joined to the hits.
 
 Defined results: a null or empty text or item overlaps nothing; rows with null ids are compared and carry the null;
-repeated items are reported each; a document that overlaps an item on several diagonals is one row, with its best window.
+repeated items are reported each, repeated documents once per doc_id; a document that overlaps an item on several diagonals
+is one row, with its best window (ties are equal numbers); texts and items of any length are compared whole; either table
+may be empty; columns besides the ids and texts are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,32 +61,44 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def seeds(words: str, pos: str, masks: dict[tuple[int, ...], Column]) -> Column:
-    """The hash of the tokens from ``pos`` on under each mask whose condition holds; one that reaches beyond the end gives null."""
-    return F.array(*(F.when(given & (F.col(pos) + mask[-1] < F.size(words)), F.xxhash64(F.lit(k), *(F.expr(f"{words}[{pos} + {o}]") for o in mask))) for k, (mask, given) in enumerate(masks.items())))
+def seeds(hashes: str, pos: str, masks: dict[tuple[int, ...], Column]) -> Column:
+    """The hash of the tokens from ``pos`` on under each mask whose condition holds; one that reaches beyond the end gives
+    null. ``hashes`` names the array of the tokens' own hashes, so that each token is hashed once, whatever masks it is in."""
+    return F.array(*(F.when(given & (F.col(pos) + mask[-1] < F.size(hashes)), F.xxhash64(F.lit(k), *(F.expr(f"{hashes}[{pos} + {o}]") for o in mask))) for k, (mask, given) in enumerate(masks.items())))
+
+
+def hashed(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def item_seeds(items: DataFrame, masks: dict[tuple[int, ...], Column]) -> DataFrame:
     """(hash, item_no, item_pos) of the distinct token sequences ``items`` (item_no, item_words)."""
-    at = items.select("item_no", "item_words", F.explode(F.sequence(F.lit(0), F.size("item_words") - 1)).alias("item_pos"))
-    return at.select("item_no", "item_pos", F.explode(seeds("item_words", "item_pos", masks)).alias("hash")).where("hash is not null")
+    at = items.select("item_no", "item_words", hashed(F.col("item_words")).alias("item_hashes"), F.explode(F.sequence(F.lit(0), F.size("item_words") - 1)).alias("item_pos"))
+    return at.select("item_no", "item_pos", F.explode(seeds("item_hashes", "item_pos", masks)).alias("hash")).where("hash is not null")
+
+
+def near(words: str, pos: str, item_pos: str, span: int) -> list[Column]:
+    """(from, near) of a hit: the document's tokens beside a block of the item laid along the hit's diagonal, and
+    ``span`` - 1 more at either side. They depend on the diagonal and block alone, so hits that say the same are equal rows."""
+    width = 2 * span
+    block = F.floor(F.col(item_pos) / width).cast("int")
+    shift = F.col(pos) - F.col(item_pos)
+    low = F.greatest(F.lit(0), -shift, block * width - (span - 1))
+    return [low.alias("from"), F.slice(words, shift + low + 1, block * width + width + span - 1 - low).alias("near")]
 
 
-def best_window(near: str, items: str, near_at: str, item_at: str, span: int) -> Column:
-    """The most equal tokens in any ``span`` tokens of the item laid along the diagonal of a hit, with the hit's first token
-    among them. ``near`` holds the document's tokens around the hit, which is at ``near_at`` in it."""
-    shift = F.col(near_at) - F.col(item_at)
-    low = F.greatest(F.lit(0), -shift, F.col(item_at) - (span - 1))
-    high = F.least(F.size(items), F.size(near) - shift, F.col(item_at) + span)
-    equal = F.transform(F.sequence(low, high - 1), lambda k: F.when(F.get(F.col(near), k + shift) == F.get(F.col(items), k), 1).otherwise(0))
+def best_window(near: str, items: str, start: str, span: int) -> tuple[Column, Callable[[], Column]]:
+    """The most equal tokens in any ``span`` tokens of the item (all of a shorter one), whose tokens from ``start`` on are
+    laid beside ``near``: first the column ``_marks`` of equal tokens, then what makes the result of it."""
+    marks = F.transform(F.sequence(F.lit(0), F.least(F.size(near), F.size(items) - F.col(start)) - 1), lambda k: F.when(F.get(F.col(near), k) == F.get(F.col(items), k + F.col(start)), 1).otherwise(0))
     width = F.least(F.lit(span), F.size(items))
     state = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"), F.lit(0).alias("at"))
 
-    def slide(acc: Column, x: Column, marks: Column) -> Column:
-        now = acc["now"] + x - F.when(acc["at"] >= width, F.get(marks, acc["at"] - width)).otherwise(0)
+    def slide(acc: Column, x: Column) -> Column:
+        now = acc["now"] + x - F.when(acc["at"] >= width, F.get(F.col("_marks"), acc["at"] - width)).otherwise(0)
         return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"), (acc["at"] + 1).alias("at"))
 
-    return F.aggregate(equal, state, lambda acc, x: slide(acc, x, equal), lambda acc: acc["most"])
+    return marks, lambda: F.aggregate("_marks", state, slide, lambda acc: acc["most"])
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, span: int = 13, percent: int = 75, broadcast_rows: int = 1_000_000) -> DataFrame:
@@ -96,19 +113,20 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, span: int
     table = scratch.save(item_seeds(items, {mask: width.isin(*ns) for mask, ns in used.items()}))
     probes = dict.fromkeys(used or {(0,): []}, F.lit(True))
     few = table.limit(broadcast_rows + 1).count() <= broadcast_rows
-    words = spread(docs.select("doc_id", "text")).select("doc_id", tokens(F.col("text")).alias("words"))
-    # a hit leaves the generated code with the tokens around it, never with the whole document's
-    start = F.greatest(F.col("pos") - (span - 1), F.lit(0))
-    around = [F.slice("words", start + 1, 2 * span).alias("near"), (F.col("pos") - start).alias("near_at")]
+    words = spread(docs.select("doc_id", "text")).select("doc_id", tokens(F.col("text")).alias("words")).withColumn("hashes", hashed(F.col("words")))
+    # a hit leaves the generated code with the tokens beside its block of the item, never with the whole document's
+    beside = near("words", "pos", "item_pos", span)
     if few:
-        found = words.select("doc_id", "words", F.posexplode("words").alias("pos", "_w")).select("doc_id", "words", "pos", F.explode(seeds("words", "pos", probes)).alias("hash"))
-        hits = found.join(F.broadcast(table), "hash").select("doc_id", "item_no", "item_pos", *around)
+        found = words.select("doc_id", "words", "hashes", F.posexplode("hashes").alias("pos", "_h")).select("doc_id", "words", "pos", F.explode(seeds("hashes", "pos", probes)).alias("hash"))
+        hits = found.join(F.broadcast(table), "hash").select("doc_id", "item_no", *beside)
     else:
         keyed = words.withColumn("row", F.xxhash64("doc_id", "words"))
-        found = keyed.select("row", "words", F.posexplode("words").alias("pos", "_w")).select("row", "pos", F.explode(seeds("words", "pos", probes)).alias("hash")).where("hash is not null")
-        hits = found.join(table, "hash").join(keyed, "row").select("doc_id", "item_no", "item_pos", *around)
-    # chance hits end here: each is verified where it is found, and only pairs that overlap are grouped
-    hits = hits.join(F.broadcast(items) if few else items, "item_no")
-    scored = hits.select("doc_id", "item_no", best_window("near", "item_words", "near_at", "item_pos", span).alias("matched"), width.alias("of"))
+        found = keyed.select("row", "hashes", F.posexplode("hashes").alias("pos", "_h")).select("row", "pos", F.explode(seeds("hashes", "pos", probes)).alias("hash")).where("hash is not null")
+        # equal rows have equal hits, and each of them meets one of these
+        hits = found.join(table, "hash").select("row", "pos", "item_no", "item_pos").distinct().join(keyed, "row").select("doc_id", "item_no", *beside)
+    # an overlap of many hits is verified once a block, and chance hits end here: only pairs that overlap are grouped
+    hits = hits.distinct().join(F.broadcast(items) if few else items, "item_no")
+    marks, most = best_window("near", "item_words", "from", span)
+    scored = hits.withColumn("_marks", marks).select("doc_id", "item_no", most().alias("matched"), width.alias("of"))
     pairs = scored.where(F.col("matched") * 100 >= F.col("of") * percent).groupBy("doc_id", "item_no").agg(F.max("matched").alias("matched"), F.max("of").alias("of"))
     return pairs.join(owners.select("item_no", "item_id"), "item_no").select("doc_id", "item_id", "matched", "of")
