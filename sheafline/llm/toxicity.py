@@ -13,11 +13,14 @@ Scoring. Forward-backward over the whole text gives each token's marginal. A doc
 least one of its tokens with a marginal of 0.1 or more is toxic (these taken as independent), else its largest marginal.
 Offending spans are maximal runs of tokens with a marginal of 0.5 or more, as character offsets into the text.
 
-Bound: the field is fitted to at most ``most`` labelled documents (20,000), those with the smallest hashes of doc_id;
-every document is scored whole. Labels, lang, source and doc_id never enter a score.
+Bound: the field is fitted to at most ``most`` labelled documents (8,000), of those that the table has the ones with the
+smallest hashes of doc_id; of these all candidate features and all windows are used, whole. Every document is scored
+whole. Labels, lang, source and doc_id never enter a score.
 
 Defined results: a null or empty text, or one without tokens, scores 0 and has no spans; without labelled rows of both
-kinds everything scores 0; rows of one doc_id with several labels count as toxic if one of them does.
+kinds everything scores 0; rows of one doc_id with several labels count as toxic if one of them does; a score of just 0.5
+is predicted 1; repeated rows are scored each, and equal texts alike; an empty table gives no rows. Other columns pass
+through, but those named like a new one are replaced.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, add_text_columns, spread
+from .common import BoundedCache, Scratch, add_text_columns, spread
 
 #: A-Z to lower case, other ASCII than letters and digits to a space: as long as the text, so offsets stay.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -58,18 +61,17 @@ class Field:
     trans: tuple = ((0.0, 0.0), (0.0, 0.0))
 
 
-class _Emission(dict):
+class _Emission(BoundedCache):
     """A word's log odds of toxic against clean, before its neighbours are looked at."""
 
+    limit = 32 << 20
+
     def __init__(self, model: Field):
         super().__init__()
         self.weights, self.bias = model.weights, model.bias
 
-    def __missing__(self, word: bytes) -> float:
-        if len(self) > 400_000:
-            self.clear()
-        out = self[word] = self.bias + sum(self.weights.get(f, 0.0) for f in features(word))
-        return out
+    def make(self, word: bytes) -> float:
+        return self.bias + sum(self.weights.get(f, 0.0) for f in features(word))
 
 
 def marginals(rows: list[np.ndarray], model: Field) -> list[np.ndarray]:
@@ -158,11 +160,11 @@ def tag(df: DataFrame, model: Field, text: str = "text") -> DataFrame:
     return add_text_columns(df, text, [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("spans", SPAN)], make)
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratch, most: int = 20_000, max_features: int = 1200, max_windows: int = 8_000) -> Field:
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratch, most: int = 8_000) -> Field:
     """Fit the field to the labelled documents of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     # at most ``most`` rows of two numbers: small enough to send to every executor
-    picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    picked = scratch.save(known.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     train = scratch.save(spread(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")))
     totals = dict(train.groupBy("toxic").count().collect())
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
@@ -191,7 +193,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratc
     # so often in toxic documents alone by chance less than once in a million features
     least = max(3, math.ceil(math.log(1e-6) / math.log(n_toxic / (n_toxic + n_clean))))
     odds = n_clean / n_toxic
-    able = by.where((F.col("t") >= least) & (F.col("c") <= 0.02 * F.col("t") * odds)).orderBy(F.desc(F.col("t") - F.col("c")), "feature").limit(max_features)
+    able = by.where((F.col("t") >= least) & (F.col("c") <= 0.02 * F.col("t") * odds))
     candidates = {r["feature"]: r["t"] for r in able.collect()}
     if not candidates:
         return Field()
@@ -217,7 +219,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratc
                 words = (text or "").encode().translate(_FOLD).split()
                 hits = []
                 for k, w in enumerate(words):
-                    if len(memo) > 300_000:
+                    if len(memo) > 100_000:
                         memo.clear()
                     fs = memo.get(w)
                     if fs is None:
@@ -231,41 +233,35 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratc
                         runs[-1][1] = min(k + WINDOW, len(words))
                     elif words:
                         runs.append([max(0, k - WINDOW), min(len(words), k + WINDOW + 1)])
-                for lo, hi in runs[:4]:
-                    hi = min(hi, lo + 40)
-                    rows = [[(fs := memo[w]), int(x == 1 and any(f in seeds for f in fs))] for w in words[lo:hi]]
-                    out.append((json.dumps(rows), any(y for _, y in rows)))
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.string()), pa.array([y for _, y in out], pa.bool_())], names=["w", "toxic"])
-
-    held = scratch.save(train.select("text", "toxic").mapInArrow(windows, "w string, toxic boolean"))
-    rows = [r["w"] for kind in (True, False) for r in held.where(F.col("toxic") == kind).orderBy(F.xxhash64("w"), "w").limit(max_windows // 2).collect()]
-    return train_field([json.loads(w) for w in rows])
-
-
-def train_field(windows: list[list], rounds: int = 80, rate: float = 0.3, prior: float = 0.002) -> Field:
-    """Maximum likelihood by Adam; ``windows``: lists of (features, tag)."""
-    names = sorted({f for w in windows for fs, _ in w for f in fs})
-    index = {f: k for k, f in enumerate(names)}
-    n, longest = len(windows), max(map(len, windows))
-    mask, tags = np.zeros((n, longest), bool), np.zeros((n, longest))
-    cell, feat = [], []
-    for i, w in enumerate(windows):
-        mask[i, : len(w)] = True
-        for j, (fs, y) in enumerate(w):
-            tags[i, j] = y
-            cell += [i * longest + j] * len(fs)
-            feat += [index[f] for f in fs]
-    cell, feat = np.array(cell, np.int64), np.array(feat, np.int64)
-    inner = mask[:, 1:]
-    y0, y1 = tags[:, :-1], tags[:, 1:]
-    seen = np.array([[((1 - y0) * (1 - y1) * inner).sum(), ((1 - y0) * y1 * inner).sum()], [(y0 * (1 - y1) * inner).sum(), (y0 * y1 * inner).sum()]])
-    k = len(names)
-    theta = np.zeros(k + 6)
-    theta[k] = -3.0
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    total = mask.sum()
-    for step in range(1, rounds + 1):
-        e = theta[k] + np.bincount(cell, theta[feat], n * longest).reshape(n, longest)
+                for lo, hi in runs:
+                    out.append(json.dumps([[(fs := memo.get(w) or [f for f in features(w) if f in candidates]), int(x == 1 and any(f in seeds for f in fs))] for w in words[lo:hi]]))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["w"])
+
+    rows = scratch.save(train.select("text", "toxic").mapInArrow(windows, "w string")).orderBy(F.xxhash64("w"), "w").collect()
+    return train_field([json.loads(r["w"]) for r in rows])
+
+
+class _Block:
+    """Windows of about the same length as arrays; features by number."""
+
+    def __init__(self, windows: list[list], index: dict[str, int]):
+        self.n, self.longest = len(windows), max(map(len, windows))
+        self.mask, self.tags = np.zeros((self.n, self.longest), bool), np.zeros((self.n, self.longest))
+        cell, feat = [], []
+        for i, w in enumerate(windows):
+            self.mask[i, : len(w)] = True
+            for j, (fs, y) in enumerate(w):
+                self.tags[i, j] = y
+                cell += [i * self.longest + j] * len(fs)
+                feat += [index[f] for f in fs]
+        self.cell, self.feat = np.array(cell, np.int64), np.array(feat, np.int64)
+        inner, y0, y1 = self.mask[:, 1:], self.tags[:, :-1], self.tags[:, 1:]
+        self.seen = np.array([[((1 - y0) * (1 - y1) * inner).sum(), ((1 - y0) * y1 * inner).sum()], [(y0 * (1 - y1) * inner).sum(), (y0 * y1 * inner).sum()]])
+
+    def gradient(self, theta: np.ndarray, k: int) -> np.ndarray:
+        """Of the log likelihood; theta: ``k`` weights, the bias, the start, the transitions."""
+        n, longest, mask = self.n, self.longest, self.mask
+        e = theta[k] + np.bincount(self.cell, theta[self.feat], n * longest).reshape(n, longest)
         tr = np.exp(theta[k + 2 :].reshape(2, 2))
         emit = np.stack([np.ones_like(e), np.exp(np.clip(e, -30, 30))], -1)
         emit[~mask] = 1.0
@@ -286,13 +282,33 @@ def train_field(windows: list[list], rounds: int = 80, rate: float = 0.3, prior:
             b /= b.sum(1, keepdims=True)
             beta[t - 1] = np.where(mask[:, t, None], b, 1.0)
         post = (alpha * beta)[..., 1] / (alpha * beta).sum(-1)
-        diff = np.where(mask, tags - post.T, 0.0)
+        diff = np.where(mask, self.tags - post.T, 0.0)
         grad = np.zeros_like(theta)
-        grad[:k] = np.bincount(feat, diff.ravel()[cell], k)
+        grad[:k] = np.bincount(self.feat, diff.ravel()[self.cell], k)
         grad[k] = diff.sum()
         grad[k + 1] = diff[:, 0].sum()
-        grad[k + 2 :] = (seen - pairs).ravel()
-        grad = grad / total * 100 - prior * np.where(np.arange(k + 6) == k, 0, theta)
+        grad[k + 2 :] = (self.seen - pairs).ravel()
+        return grad
+
+
+def train_field(windows: list[list], rounds: int = 80, rate: float = 0.3, prior: float = 0.002, cells: int = 200_000) -> Field:
+    """Maximum likelihood by Adam; ``windows``: lists of (features, tag), taken in blocks of similar length."""
+    names = sorted({f for w in windows for fs, _ in w for f in fs})
+    index = {f: k for k, f in enumerate(names)}
+    blocks, now = [], []
+    for w in sorted(windows, key=len):
+        if now and (len(now) + 1) * len(w) > cells:
+            blocks.append(_Block(now, index))
+            now = []
+        now.append(w)
+    blocks.append(_Block(now, index))
+    k = len(names)
+    theta = np.zeros(k + 6)
+    theta[k] = -3.0
+    m, v = np.zeros_like(theta), np.zeros_like(theta)
+    total = sum(map(len, windows))
+    for step in range(1, rounds + 1):
+        grad = sum(b.gradient(theta, k) for b in blocks) / total * 100 - prior * np.where(np.arange(k + 6) == k, 0, theta)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     weights = {f: float(theta[i]) for f, i in index.items() if abs(theta[i]) > 1e-3}
