@@ -5,15 +5,18 @@ it into pieces, of the product of their probabilities: the forward algorithm ove
 vocabulary's word mark. The probabilities come from expectation maximisation over the words of documents with a known
 language: forward-backward gives the expected use of each piece, and nothing but the text is used to predict.
 
-Words: runs of bytes beyond ASCII and of ASCII letters, lower-cased, cut at 48 characters if longer; a word without any
-letter counts for nothing. A text's log likelihoods are the sums over its words, and its score the posterior probability
-of the best language under equal priors (ties: the smaller name).
-
-Bound: the models are fitted to about ``per_language`` documents (1,500) of each language, chosen by a hash of doc_id,
-and to the ``max_words`` (30,000) most frequent words of each; every text is predicted whole.
-
-Defined results: ``und`` with score 0 if the text is null or has no letter, or no language was learned; rows with a null
-lang are not learned from; repeated rows are predicted each.
+Words: runs of bytes beyond ASCII and of ASCII letters, lower-cased, of any length; a word without any letter counts for
+nothing. A text's log likelihoods are the sums over its words, and its score the posterior probability of the best language
+under equal priors (ties: the smaller name). Forward values are scaled: by a constant per character in words of up to 48
+characters, which are taken many at once, and at every position in longer ones, which are taken one by one with only the
+last few positions held; logarithms are exact either way.
+
+Bound: the models are fitted to about ``per_language`` documents (300) of each language, chosen by a hash of doc_id, and to
+all of their words; every text is predicted whole.
+
+Defined results: ``und`` with score 0 if the text is null or has no letter, or no language was learned (an empty table has
+no rows to learn from and gives none); rows with a null lang are not learned from; repeated rows are predicted each, and
+equal texts alike. Other columns pass through, but those named like a new one are replaced.
 """
 
 from __future__ import annotations
@@ -32,7 +35,9 @@ from pyspark.sql import types as T
 from .common import Scratch, add_text_columns, spread
 
 MARK = "▁"
-LONGEST_WORD = 48
+#: Characters of the words that are taken many at once, and what each position's forward values are multiplied by there:
+#: with FLOOR per unknown character it keeps 49 positions between 1e-245 and 1e196.
+SHORT, SCALE = 48, 1e4
 FLOOR = 1e-9
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -56,11 +61,6 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_LETTERS).split()
 
 
-def parts_of(word: bytes) -> list[str]:
-    w = word.decode("utf-8", "replace")
-    return [w[k : k + LONGEST_WORD] for k in range(0, len(w), LONGEST_WORD)]
-
-
 def arcs(words: list[str], pieces: dict[str, int], prefixes: frozenset[str]) -> tuple[np.ndarray, ...]:
     """(word, start, end, piece) of every piece in every marked word; piece len(pieces) is an unknown character."""
     out: list[int] = []  # the four numbers of an arc in one: lengths are below 64, pieces below 65,536
@@ -91,21 +91,40 @@ def by_position(at: np.ndarray) -> list[np.ndarray]:
 
 
 def forward(words: list[str], arc: tuple[np.ndarray, ...], prob: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(alpha, log likelihood): alpha[word, position, language], scaled per word and position; prob[piece, language]."""
+    """(alpha, log likelihood) of words of at most SHORT characters: alpha[word, position, language] is SCALE^position times
+    the probability of all ways to write the word up to there; prob[piece, language]."""
     k, start, end, piece = arc
     lengths = np.array([len(w) + 1 for w in words])
     size, langs = int(lengths.max()) + 1, prob.shape[1]
     alpha = np.zeros((len(words) * size, langs))
     alpha[np.arange(len(words)) * size] = 1.0
     source, target = k * size + start, k * size + end
+    grown = SCALE ** np.arange(size)
     for at, group in enumerate(by_position(end)):
         if at and len(group):
             t = target[group]
             order = group[np.argsort(t, kind="stable")]
             t = target[order]
             first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-            alpha[t[first]] = np.add.reduceat(alpha[source[order]] * prob[piece[order]], first)
-    return alpha.reshape(len(words), size, langs), np.log(np.maximum(alpha[np.arange(len(words)) * size + lengths], 1e-300))
+            alpha[t[first]] = np.add.reduceat(alpha[source[order]] * prob[piece[order]] * grown[at - start[order], None], first)
+    return alpha.reshape(len(words), size, langs), np.log(alpha[np.arange(len(words)) * size + lengths]) - lengths[:, None] * np.log(SCALE)
+
+
+def forward_long(word: str, pieces: dict[str, int], longest: int, prob: np.ndarray) -> np.ndarray:
+    """Log likelihoods of a word of any length, position by position; only the last ``longest`` positions are held, each with
+    the logarithm it was scaled by."""
+    w = MARK + word
+    held, scale = {0: np.ones(prob.shape[1])}, {0: np.zeros(prob.shape[1])}
+    for end in range(1, len(w) + 1):
+        logs = []
+        for start in range(max(0, end - longest), end):
+            p = pieces.get(w[start:end], len(pieces) if end == start + 1 else None)
+            if p is not None:
+                logs.append(np.log(held[start]) + scale[start] + np.log(prob[p]))
+        top = np.max(logs, axis=0)
+        held[end], scale[end] = np.exp(np.array(logs) - top).sum(0), top
+        held.pop(end - longest, None)
+    return np.log(held[len(w)]) + scale[len(w)]
 
 
 @dataclass
@@ -118,33 +137,36 @@ class Model:
 
 
 class Scorer:
-    """Log likelihoods of words, remembered up to a bound."""
+    """Log likelihoods of words, those of at most SHORT characters remembered up to ``most``."""
 
-    def __init__(self, model: Model, most: int = 600_000):
+    def __init__(self, model: Model, most: int = 200_000):
         self.model, self.most = model, most
         self.pieces, self.prefixes = vocabulary(model.path)
+        self.longest = max(map(len, self.pieces), default=1)
         self.slot: dict[bytes, int] = {}
         self.table = np.zeros((1024, len(model.langs) + 1))  # the last column: whether there is a letter
 
+    def likelihoods(self, words: list[str]) -> np.ndarray:
+        """By word; a word without a letter has zeros, as has the last column."""
+        out = np.zeros((len(words), len(self.model.langs) + 1))
+        real = np.array([any(c.isalpha() for c in w) for w in words], bool)
+        out[real, -1] = 1
+        short = [i for i in np.flatnonzero(real) if len(words[i]) <= SHORT]
+        for k in range(0, len(short), 20_000):
+            some = [words[i] for i in short[k : k + 20_000]]
+            out[short[k : k + 20_000], :-1] = forward(some, arcs(some, self.pieces, self.prefixes), self.model.prob)[1]
+        for i in np.flatnonzero(real):
+            if len(words[i]) > SHORT:
+                out[i, :-1] = forward_long(words[i], self.pieces, self.longest, self.model.prob)
+        return out
+
     def learn(self, words: list[bytes]) -> None:
         """Add the words not yet known."""
-        parts, owner, letters = [], [], np.zeros(len(words))
-        for i, w in enumerate(words):
-            for p in parts_of(w):
-                if any(c.isalpha() for c in p):
-                    letters[i] = 1
-                    parts.append(p)
-                    owner.append(i)
-        values = np.zeros((len(words), len(self.model.langs)))
-        for k in range(0, len(parts), 20_000):
-            some = parts[k : k + 20_000]
-            _, like = forward(some, arcs(some, self.pieces, self.prefixes), self.model.prob)
-            np.add.at(values, owner[k : k + 20_000], like)
+        values = self.likelihoods([w.decode("utf-8", "replace") for w in words])
         n = len(self.slot)
         if n + len(words) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros((max(n, len(words)), self.table.shape[1]))])
-        self.table[n : n + len(words), :-1] = values
-        self.table[n : n + len(words), -1] = letters
+        self.table[n : n + len(words)] = values
         self.slot.update(zip(words, range(n, n + len(words))))
 
     def __call__(self, texts: list) -> dict:
@@ -174,7 +196,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return add_text_columns(df, text, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], lambda: Scorer(model))
 
 
-def fit(docs: DataFrame, path: str, scratch: Scratch, per_language: int = 1500, max_words: int = 30_000, rounds: int = 4) -> Model:
+def fit(docs: DataFrame, path: str, scratch: Scratch, per_language: int = 300, rounds: int = 4) -> Model:
     """Learn from ``docs`` (doc_id, text, lang)."""
     known = docs.where("lang is not null and text is not null").select("doc_id", "text", "lang")
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -203,8 +225,9 @@ def fit(docs: DataFrame, path: str, scratch: Scratch, per_language: int = 1500,
     pieces, prefixes = vocabulary(path)
     prob = np.full((len(pieces) + 1, len(langs)), FLOOR)
     for at, lang in enumerate(langs):
-        top = counts.where(F.col("lang") == lang).orderBy(F.desc("n"), "word").limit(max_words).collect()
-        found = [(p, r["n"]) for r in top for p in parts_of(r["word"].encode()) if any(c.isalpha() for c in p)]
+        # all words of a bounded number of documents; one longer than SHORT is learned from by its parts
+        rows = counts.where(F.col("lang") == lang).orderBy(F.desc("n"), "word").collect()
+        found = [(w[k : k + SHORT], r["n"]) for r in rows for w in (r["word"],) for k in range(0, len(w), SHORT) if any(c.isalpha() for c in w[k : k + SHORT])]
         if found:
             prob[:, at] = estimate([w for w, _ in found], np.array([n for _, n in found], float), pieces, prefixes, rounds)
     return Model(langs, prob, path)
@@ -219,14 +242,15 @@ def estimate(words: list[str], weight: np.ndarray, pieces: dict[str, int], prefi
         used = np.zeros(len(pieces) + 1)
         for some, n, arc in blocks:
             k, start, end, piece = arc
-            alpha, like = forward(some, arc, p[:, None])
+            alpha, _ = forward(some, arc, p[:, None])
             size = alpha.shape[1]
             alpha, beta = alpha[:, :, 0].ravel(), np.zeros(len(some) * size)
             beta[np.arange(len(some)) * size + np.array([len(w) + 1 for w in some])] = 1.0
             for group in reversed(by_position(start)):
                 if len(group):
-                    np.add.at(beta, k[group] * size + start[group], beta[k[group] * size + end[group]] * p[piece[group]])
-            share = alpha[k * size + start] * p[piece] * beta[k * size + end] / np.exp(like[k, 0]) * n[k]
+                    np.add.at(beta, k[group] * size + start[group], beta[k[group] * size + end[group]] * p[piece[group]] * SCALE ** (end - start)[group])
+            lengths = np.array([len(w) + 1 for w in some])
+            share = alpha[k * size + start] * p[piece] * SCALE ** (end - start) * beta[k * size + end] / alpha[k * size + lengths[k]] * n[k]
             used += np.bincount(piece, share, len(pieces) + 1)
         p = (used + 0.01) / (used.sum() + 0.01 * len(used))
     p[-1] = FLOOR
