@@ -55,13 +55,13 @@ def count_text(text: str | None) -> tuple[int, int, int, int, int]:
     return n, chars, len(data) - len(data.translate(None, SYMBOLS)), len(lines) - len(set(lines)), repeated
 
 
-def with_counts(df: DataFrame, text: str = "text") -> DataFrame:
+def with_counts(df: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
     """Append the counts of each whole text."""
 
     def make():
         return lambda texts: dict(zip(COUNTS, zip(*map(count_text, texts)))) if texts else {c: [] for c in COUNTS}
 
-    return add_text_columns(df, text, [T.StructField(c, T.LongType()) for c in COUNTS], make)
+    return add_text_columns(df, text, [T.StructField(c, T.LongType()) for c in COUNTS], make, keep_text=keep_text)
 
 
 def base_failed() -> Column:
@@ -119,17 +119,11 @@ def cutoffs(sketch: DataFrame, reach: int = 6, least: int = 200) -> DataFrame:
 def judge(df: DataFrame, scratch: Scratch, text: str = "text", reach: int = 6, least: int = 200, keep_text: bool = True) -> DataFrame:
     """Append COUNTS, base_failed and kept. ``df`` has lang and source.
 
-    The counts of all documents are written once (a few numbers a row) and give the sketches; with ``keep_text`` the
-    verdict is joined to rows that carry everything, else only the written columns come back.
+    Each document is counted once: the counts are written, with the text if it is to be kept, and read for the sketches
+    (a few columns) and again for the verdict.
     """
-    counted = with_counts(spread(df), text)
-    light = counted if keep_text else counted.drop(text)
-    if keep_text:
-        stored = scratch.save(counted.select("lang", "source", *COUNTS))
-        rows = counted
-    else:
-        rows = stored = scratch.save(light)
-    limits = scratch.save(cutoffs(scratch.save(sketches(stored, ["lang", "source"])), reach, least))
+    rows = scratch.save(with_counts(spread(df), text, keep_text))
+    limits = scratch.save(cutoffs(scratch.save(sketches(rows, ["lang", "source"])), reach, least))
     renamed = limits.select(F.col("lang").alias("_cut_lang"), F.col("source").alias("_cut_source"), *(F.col(m).alias(f"_cut_{m}") for m in MEASURES))
     joined = rows.join(renamed, F.col("lang").eqNullSafe(F.col("_cut_lang")) & F.col("source").eqNullSafe(F.col("_cut_source")), "left")
     within = [F.coalesce(measure(m) <= F.col(f"_cut_{m}"), F.lit(True)) for m in MEASURES]
