@@ -294,14 +294,14 @@ class Encoder:
         firsts = cut.offsets.to_numpy()[:-1][lengths := pc.fill_null(pc.list_value_length(cut), 0).to_numpy() > 0]
         codes, inner = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
         codes[firsts] = len(inner) + np.arange(len(firsts))  # the first has no space before it
-        ids = self.words([" " + w for w in inner] + [t[: t.find(" ") if " " in t else None] for t, live in zip(texts, lengths) if live])
+        ids = self.words([" " + w for w in inner] + [t[: t.find(" ") if " " in t else None] for t, live in zip(texts, lengths) if live], np.bincount(codes).tolist())
         lists = pa.ListArray.from_arrays(cut.offsets, pa.array(ids, pa.string()).take(pa.array(codes)))
-        whole = self.words([t for t, live in zip(texts, lengths) if not live])
+        whole = self.words([t for t, live in zip(texts, lengths) if not live], None)
         out, whole = pc.binary_join(lists, ",").to_pylist(), iter(whole)
         return [(j[1:] if j[:1] == "," else j) if live else next(whole) for j, live in zip(out, lengths)]
 
-    def words(self, found: list[str]) -> list[str]:
-        """The joined ids of each word, which is cut by the pattern by itself."""
+    def words(self, found: list[str], times: list[int] | None) -> list[str]:
+        """The joined ids of each word, which is cut by the pattern by itself; those of several ``times`` are remembered."""
         known, older, findall = self.known, self.older, self.pattern.findall
         out = [known.get(w) for w in found]
         again = [i for i, ids in enumerate(out) if ids is None]
@@ -326,7 +326,8 @@ class Encoder:
             out[i] = made[c[0]] if len(c) == 1 else ",".join([made[p] for p in c])
         if len(known) > self.most:
             self.known, self.older = {}, known
-        self.known |= {w: out[i] for i in again if len(w := found[i]) <= self.long}
+        if times:
+            self.known |= {w: out[i] for i in again if times[i] > 1 and len(w := found[i]) <= self.long}
         return out
 
     def ids_text(self, text: str) -> str:

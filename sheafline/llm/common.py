@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import re
 import shutil
@@ -37,10 +38,29 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_scratch[0]
 
 
+def bound_batches(spark: SparkSession, limit: int = 16 << 20) -> None:
+    """Lower the session's bytes per Arrow batch where they are Spark's default of 64 MB: each core holds such a batch in
+    the JVM and again in Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "67108864b") in ("67108864b", "64m", "67108864"):
+        spark.conf.set(key, str(limit))
+
+
+def release() -> None:
+    """Give memory that a finished task leaves free back to the system; workers live on for the next task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:
+        pass  # another C library
+
+
 class Scratch:
     """Written tables in the shared folder: they cut lineage and outlive a lost executor."""
 
     def __init__(self, spark: SparkSession, name: str):
+        bound_batches(spark)
         self.spark, self.root, self.count = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
 
     def save(self, df: DataFrame) -> DataFrame:
@@ -53,7 +73,14 @@ class Scratch:
 
     def drop(self, df: DataFrame) -> None:
         """Delete a saved table that nothing will read again."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+        self._delete(df._scratch_path)
+
+    def clear(self) -> None:
+        """Delete all of them."""
+        self._delete(self.root)
+
+    def _delete(self, at: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(at)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -133,7 +160,10 @@ def add_text_columns(df: DataFrame, text: str, fields: list[T.StructField], make
                 part = batch.slice(start, n)
                 made = fn(part.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in passing), *(pa.array(made[f.name], k) for f, k in zip(fields, kinds))], names=names)
+        del fn
+        release()
 
+    bound_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
