@@ -2,7 +2,6 @@ import base64
 import gzip
 import hashlib
 import itertools
-import math
 import random
 import re
 
@@ -30,6 +29,8 @@ def test_components(spark):
     for a, b in edges:
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
+    chain = [(2000 + i, 2001 + i) for i in range(400)]
+    assert {tuple(r) for r in components(spark, spark.createDataFrame(chain, "a long, b long"), Scratch(spark, "t")).collect()} == {(2000 + i, 2000) for i in range(401)}
     got = dict(map(tuple, components(spark, spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "t")).collect()))
     lone = {x for x in root if all(x not in e or e[0] == e[1] for e in edges)}
     assert got == {x: find(x) for x in root if x not in lone}
@@ -97,37 +98,46 @@ def test_sketches_fill_and_estimate():
     assert abs(np.mean(near) - 0.8) < 0.03
 
 
-def test_near_duplicates_of_a_large_bucket_with_one_equal_band(spark):
-    """Two similar texts agree in one band only, and texts unlike them and each other fill its bucket beyond ``large``."""
-    words, percent = minhash._WordHash(), 30
-    full = lambda ws: minhash.sketch([minhash.shingle_hashes(" ".join(ws), words, 1)])[0]
-    equal = lambda x, y: [b for b in range(minhash.BANDS) if all(x[b * minhash.ROWS + j] == y[b * minhash.ROWS + j] for j in range(minhash.ROWS))]
-    for trial in range(5000):
-        common = [f"c{trial}x{i}" for i in range(100)]
-        x, y = (common + [f"{side}{trial}x{i}" for i in range(105)] for side in "uv")
-        fx = full(x)
-        band = equal(fx, full(y))
-        if len(band) == 1:
-            break
-    needed = [w for w in common if band[0] not in equal(fx, full([v for v in x if v != w]))]
-    fill = []
-    for k in range(5000):
-        f = needed + [f"f{k}x{i}" for i in range(25)]
-        if band == equal(fx, full(f)):
-            fill.append(f)
-        if len(fill) == 8:
-            break
-    assert len(fill) == 8
-    rows = [(i, " ".join(f)) for i, f in enumerate([*fill, x, y])]
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t"), 1, percent, 3).collect()}
-    assert got == near_brute(rows, 1, percent) and got[9][1] == 8
-
-
-@pytest.mark.parametrize("percent", [80, 85])
-def test_sketch_floor_loses_no_more_than_the_bands(percent):
-    n, s = minhash.COORDINATES, percent / 100
-    below = sum(math.comb(n, k) * s**k * (1 - s) ** (n - k) for k in range(minhash._sketch_floor(s)))
-    assert below <= (1 - s**minhash.ROWS) ** minhash.BANDS
+def forest_classes(ids, links):
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}
+
+
+@pytest.mark.parametrize("n,bits", [(2, 1 << 20), (60, 1 << 20), (60, 600)])
+def test_linked_is_exact(n, bits, monkeypatch):
+    """Forests of groups whose members lie around the threshold, with few columns at a time as with all."""
+    monkeypatch.setattr(minhash, "BITS", bits)
+    rng = np.random.default_rng(n)
+    for trial in range(6):
+        base = rng.integers(0, 1 << 62, 150).astype(np.uint64)
+        sets = [np.unique(np.where(rng.random(150) < rng.uniform(0, 0.15), rng.integers(0, 1 << 62, 150).astype(np.uint64), base)) for _ in range(n)]
+        links = minhash.linked(list(range(n)), sets, 85)
+        all_ = [(i, j) for i in range(n) for j in range(i + 1, n) for k in [len(np.intersect1d(sets[i], sets[j]))] if 100 * k >= 85 * (len(sets[i]) + len(sets[j]) - k)]
+        assert len(links) < n and forest_classes(range(n), links) == forest_classes(range(n), all_)
+
+
+def test_near_duplicates_of_a_large_family(spark):
+    """A family of 400 whose members mostly fall short of each other, cut to blocks: no class differs from brute force."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(rng.randrange(22)):
+            words[rng.randrange(150)] = f"x{rng.randrange(100000)}"
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t"), 3, 85, large=60, weight=5000).collect()}
+    want = near_brute(rows, 3, 85)
+    assert got == want and 1 < len({v[1] for v in want.values()}) < 390
 
 
 def leaks_brute(docs, items, span=13, percent=75):
@@ -321,3 +331,23 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert {r.doc_id for r in out.collect()} == ids and out.where("not round_trip").count() == 0
     assert near_brute([(r.doc_id, r.text) for r in docs.collect()], 5, 80) == {r.doc_id: (n, r.doc_id, True) for r in docs.collect() for n in [near_brute([(r.doc_id, r.text)], 5, 80)[r.doc_id][0]]}
+
+
+def test_pipeline_stages_with_odd_rows(spark):
+    """Null ids, repeated rows and ids, null and long texts, an empty table, a column of a clashing name."""
+    import corpus_pipeline
+
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").first().text
+    plain = "the quick brown fox jumps over the lazy dog while nobody looks at it and everyone sleeps "
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, plain + "one"), (1, plain + "one"), (2, plain + "one"), (3, None), (3, "a b c d e f g"), (None, plain + "two"), (None, plain + "two"), (None, item), (4, "x " + item), (5, "z " * 60000), (None, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], schema)
+    key = lambda df: sorted((r.doc_id or 0, r.text or "") for r in df.collect())
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+    assert left.columns == docs.columns
+    assert key(left) == sorted([(1, plain + "one"), (3, ""), (0, plain + "two"), (0, item), (4, "x " + item), (5, "z " * 60000), (0, "")])
+    clean = corpus_pipeline.decontaminate(spark, docs, SMALL)
+    assert key(clean) == sorted((d or 0, t or "") for d, t in rows if t != item and d != 4)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SMALL).count() == 0, name
+        assert stage(spark, docs.withColumn("kept", F.lit("x")), SMALL).count() <= len(rows), name

@@ -33,12 +33,42 @@ def texts(seed: int, n: int) -> list[str]:
 def test_bpe_equals_the_merges(reference, documents):
     enc = bpe.Encoder(BPE_PATH, P.PATTERN)
     for t in [*texts(1, 3000), *(t for _, t in documents), "abcab" * 5000, " " * 300, "\n\n x", ""]:
-        ids = enc.ids(t)
-        assert ids == reference.encode_ordinary(t), t[:60]
-        assert b"".join(data for data, _ in bpe.decode_stream(enc.fst.bytes_of, ids, 3)).decode() == t
+        joined = enc.ids_text(t)
+        ids = reference.encode_ordinary(t)
+        assert enc.ids(t).tolist() == ids, t[:60]
+        assert "".join(enc.machine.decode(joined, 3)) == "".join(enc.machine.decode(joined)) == t
+    rows = [*texts(5, 500), *(t for _, t in documents)]
+    assert [bpe.ids_of(j).tolist() for j in enc.joined(rows)] == [reference.encode_ordinary(t) for t in rows]
+
+
+def test_bpe_settles_within_the_longest_token(reference):
+    """A piece of any length is emitted part by part, and what is held doesn't grow with it."""
+    fst = bpe.Transducer(bpe.load_ranks(BPE_PATH))
+    rng = random.Random(8)
+    for t in ["abcab" * 4000, "w" * 9001, "".join(rng.choice("aeéñlstr日") for _ in range(20000))]:
+        read, most, out = 0, 0, []
+
+        def feed(data):
+            nonlocal read
+            for byte in data:
+                read += 1
+                yield byte
+
+        for part in fst.tokens(feed(t.encode())):
+            out += part
+            most = max(most, read - sum(fst.lengths[x] for x in out))
+        assert out == reference.encode_ordinary(t) == fst.piece(t.encode()) and most <= 4 * fst.longest
 
 
 def test_utf8_stream():
+    for data in (bytes([a, b, c]) for a in (0x41, 0xC1, 0xC3, 0xE0, 0xED, 0xEF, 0xF4, 0xF5, 0x80) for b in range(0x70, 0xD0, 3) for c in (0x41, 0x80, 0xBF)):
+        s = bpe.Utf8Stream()
+        try:
+            got = s.push(data)
+            s.close()
+        except UnicodeDecodeError:
+            got = None
+        assert got == (data.decode("utf-8", "ignore") if data.decode("utf-8", "replace").count("\ufffd") == 0 else None)
     data = "aé日😀".encode()
     for cut in range(1, len(data)):
         s = bpe.Utf8Stream()
@@ -186,6 +216,24 @@ def test_forward_sums_all_segmentations():
     _, like = langid.forward(words, langid.arcs(words, pieces, prefixes), prob)
     for k, w in enumerate(words):
         assert np.allclose(like[k], [np.log(total(langid.MARK + w, lang)) for lang in (0, 1)])
+        assert np.allclose(like[k], langid.forward_long(w, pieces, max(map(len, pieces)), prob))
+
+
+def test_forward_of_long_words():
+    """Nothing underflows, and 48 characters are no border."""
+    pieces, prefixes = langid.vocabulary(PIECES_PATH)
+    longest = max(map(len, pieces))
+    prob = np.full((len(pieces) + 1, 2), 1e-9)
+    for n in (40, 48):
+        w = "ꙮ" * n
+        _, like = langid.forward([w], langid.arcs([w], pieces, prefixes), prob)
+        assert np.allclose(like, langid.forward_long(w, pieces, longest, prob)) and np.allclose(like, (n + 1) * np.log(1e-9))
+    rng = np.random.default_rng(3)
+    prob = rng.random(prob.shape) / 1000
+    scorer = langid.Scorer(langid.Model(["a", "b"], prob, PIECES_PATH))
+    words = ["lalangue" * 6, "lalangue" * 6 + "x", "lalangue" * 700]
+    got = scorer.likelihoods(words)
+    assert np.allclose(got[0, :2], langid.forward_long(words[0], pieces, longest, prob)) and (np.diff(got[:, 0]) < 0).all()
 
 
 def test_language(spark):
