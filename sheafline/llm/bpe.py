@@ -28,7 +28,6 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import add_text_columns
+from .common import add_text_columns, keep_one
 
 #: Pairs remembered before a fresh start, some 100 bytes each, so that memory stays bounded; states are no more than token prefixes.
 MAX_PAIRS = 400_000
@@ -284,7 +283,7 @@ class Encoder:
     #: The pattern never joins a space with what stands before it if a character other than white space follows it.
     loose = re.compile(r" (?=[\s\x1c-\x1f]|$)")
     #: Longest piece, in bytes, that is encoded along with others; words remembered, some 250 bytes each, before the rarer go.
-    long, most = 48, 100_000
+    long, most = 48, 60_000
 
     def joined(self, texts: list[str]) -> list[str]:
         """The decimal ids of each text, joined by commas."""
@@ -417,10 +416,13 @@ class Utf8Tokens:
         stream.close()
 
 
-@lru_cache(1)
+#: Characters of texts that are encoded at once.
+SLICE = 1 << 20
+
+
 def encoder(path: str, pattern: str) -> Encoder:
-    """One per Python worker; workers are reused between tasks."""
-    return Encoder(path, pattern)
+    """Kept in its Python worker, as workers are reused between tasks."""
+    return keep_one((path, pattern), lambda: Encoder(path, pattern))
 
 
 def encode_ids(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -430,7 +432,7 @@ def encode_ids(df: DataFrame, path: str, pattern: str, text: str = "text", ids:
         enc = encoder(path, pattern)
         return lambda texts: {ids: [ids_of(j) for j in enc.joined([t or "" for t in texts])]}
 
-    return add_text_columns(df, text, [T.StructField(ids, T.ArrayType(T.IntegerType()))], make)
+    return add_text_columns(df, text, [T.StructField(ids, T.ArrayType(T.IntegerType()))], make, SLICE, keeps=True)
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -456,4 +458,4 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> Da
         return run
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()), T.StructField("round_trip", T.BooleanType())]
-    return add_text_columns(df, text, fields, make, keep_text=False)
+    return add_text_columns(df, text, fields, make, SLICE, keep_text=False, keeps=True)

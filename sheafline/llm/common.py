@@ -56,6 +56,17 @@ def release() -> None:
         pass  # another C library
 
 
+_kept: dict = {}
+
+
+def keep_one(key, make: Callable):
+    """What ``make()`` gives, kept in this worker for its next tasks; only one such object is held at a time."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 class Scratch:
     """Written tables in the shared folder: they cut lineage and outlive a lost executor."""
 
@@ -92,7 +103,7 @@ class BoundedCache(dict):
     """
 
     #: Bytes of an entry besides the key: dictionary slots, object headers, a small value.
-    entry, limit = 160, 48 << 20
+    entry, limit = 160, 32 << 20
 
     def __init__(self):
         super().__init__()
@@ -138,12 +149,13 @@ def slices(lengths: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths) - start
 
 
-def add_text_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Callable[[], Callable[[list], dict]], limit: int = 4 << 20, keep_text: bool = True) -> DataFrame:
+def add_text_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Callable[[], Callable[[list], dict]], limit: int = 2 << 20, keep_text: bool = True, keeps: bool = False) -> DataFrame:
     """Append columns computed from ``text``; every other column passes through unchanged, ``text`` only with ``keep_text``.
 
     ``make()`` is called once per task and gives a function from a list of texts (None for null) to a dict of column lists.
     It sees whole texts, at most about ``limit`` bytes of them at once, so memory is bounded by that or the longest text.
-    Columns of ``df`` that bear a new column's name are replaced.
+    Columns of ``df`` that bear a new column's name are replaced. Without ``keeps`` the task first drops what an earlier
+    operator kept in its worker.
     """
     df = df.drop(*(f.name for f in fields))
     at = df.columns.index(text)
@@ -154,6 +166,8 @@ def add_text_columns(df: DataFrame, text: str, fields: list[T.StructField], make
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.set_threshold(200_000, 20, 20)  # the caches hold many small objects, none of them cyclic
+        if not keeps:
+            _kept.clear()
         fn = make()
         for batch in batches:
             for start, n in slices(pc.binary_length(batch.column(at)), limit):

@@ -227,7 +227,7 @@ def sets_of(docs: DataFrame, needed: DataFrame, size: int, repeated: bool) -> Da
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WordHash()
         for batch in batches:
-            for start, n in slices(pc.binary_length(batch.column(1)), 4 << 20):
+            for start, n in slices(pc.binary_length(batch.column(1)), 2 << 20):
                 part = batch.slice(start, n)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_hashes(t, words, size).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["doc_id", "_set"])
 

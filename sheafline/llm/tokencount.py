@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .bpe import encoder, ids_of
+from .bpe import SLICE, encoder, ids_of
 from .common import add_text_columns
 
 COUNTED = T.ArrayType(T.StructType([T.StructField("section", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_crossing", T.LongType())]))
@@ -79,4 +79,4 @@ def count_sections(df: DataFrame, path: str, pattern: str, text: str = "text", r
 
         return run
 
-    return add_text_columns(df, text, [T.StructField("sections", COUNTED)], make, keep_text=False)
+    return add_text_columns(df, text, [T.StructField("sections", COUNTED)], make, SLICE, keep_text=False, keeps=True)
