@@ -28,7 +28,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    trees = urlfilter.train(urlfilter.seed_labels(urlfilter.with_parts(pages.where("url is not null"))))
+    trees = urlfilter.train(urlfilter.rule_labels(urlfilter.with_parts(pages.where("url is not null"))))
     return urlfilter.judge(pages, trees).select("page_id", "host", "path", "rule", "verdict")
 
 
