@@ -2,23 +2,25 @@
 
 Blocks. A page is cut into blocks at block-level tags; white space inside a block becomes one space, character references
 are decoded, and scripts, styles, comments, forms and other parts that hold no prose are left out. A block inside an
-``article`` or ``main`` element is the page's own; one inside menus, headers, footers, sidebars, notices, adverts or
-reader comments (by element, role, class or id) is not. These marks are explicit, and what they say is final: text that an
-article shares with others is still its text.
+``article`` or ``main`` element is the page's own, and what it shares with others is still its text.
 
-Suffix arrays. Every block outside articles joins its host's token stream, page after page. A suffix array (by prefix
-doubling) over the stream brings repeated runs together; a run of at least ``run`` tokens that occurs on two or more
-distinct pages of the host is boilerplate. A block that no mark decides is dropped if such runs cover at least half of
-its tokens (a block shorter than ``run`` counts as one run), and else kept as it is, whole. A page without an ``article``
-or ``main`` element is told apart by these runs alone.
+Suffix arrays. Every block outside articles joins its host's token stream, page after page; pages of the same blocks are
+one page. A suffix array (by prefix doubling) over the stream brings repeated runs together. A run of at least ``run``
+tokens (or a shorter block, whole) is boilerplate if it occurs on ``share`` of the host's distinct pages, and two at
+least. The tokens that such runs cover are cut out, whatever the markup says of them; the unique runs between them stay.
 
-Plan. Hosts are dealt in shards of about ``shard`` pages, so that one large host is many tasks. Each shard's suffix array
-gives one row per distinct run with its smallest and largest page; these are merged over the shards of a host by grouping,
-so a run that occurs once in each of two shards is found as well. The runs found are broadcast if they number at most
-``broadcast_rows``, and else joined to the pages by host and shard.
+Marks. Only of what runs leave of a block do marks decide: in menus, headers, footers, sidebars, notices, adverts or reader
+comments (by element, role, class or id) it goes, elsewhere it stays. So a page without an article is told apart by runs
+first, and a menu or notice that stands on no other page is still none of its text.
+
+Plan. Hosts are dealt in shards of about ``shard`` pages, so that one large host is many tasks. A page falls into one shard
+by its blocks, so each shard's counts of pages per run add up over the shards of a host, and a run that occurs once in each
+of two is found as well. The runs found are broadcast if they number at most ``broadcast_rows``, and else joined to the
+pages by host.
 
 Defined results: a null or empty html has empty text and 0 characters; rows with a null url share the empty host; repeated
-rows are extracted each, and copies of a page_id are one page to the suffix arrays.
+rows are extracted each; html of any length is read whole; blocks of equal text are kept each; an empty table gives no
+rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -147,36 +149,33 @@ def suffix_array(tokens: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def run_keys(blocks: list[str], run: int) -> tuple[list[int], list[int]]:
-    """64-bit keys of a block's runs of ``run`` tokens, and the tokens each begins at; a shorter block is one run."""
-    words = [w.encode() for w in blocks]
-    if len(words) <= run:
-        return ([xxhash.xxh64_intdigest(b" ".join(words)) >> 1] if words else []), ([0] if words else [])
-    return [xxhash.xxh64_intdigest(b" ".join(words[i : i + run])) >> 1 for i in range(len(words) - run + 1)], list(range(len(words) - run + 1))
+def run_key(words: list[str]) -> int:
+    return xxhash.xxh64_intdigest(" ".join(words).encode()) >> 1
+
 
+def run_keys(words: list[str], run: int) -> list[int]:
+    """63-bit keys of a block's runs of ``run`` tokens from the first on; a shorter block is one run."""
+    return [run_key(words[i : i + run]) for i in range(max(1, len(words) - run + 1))] if words else []
 
-def shard_runs(pages: list[tuple[int, list[list[str]]]], run: int) -> dict[int, tuple[int, int]]:
-    """key -> (smallest page, largest page) of the distinct runs of a shard; pages: (page_id, blocks of words)."""
+
+def shard_runs(pages: list[list[list[str]]], run: int) -> dict[int, int]:
+    """key -> number of pages with it, of the distinct runs of a shard; pages: blocks of words."""
     number: dict[str, int] = {}
     stream, page_of, block_end, starts = [], [], [], []
     words: list[str] = []
     fence = -1
-    for page, blocks in pages:
+    for page, blocks in enumerate(pages):
         for block in blocks:
-            start = len(stream)
-            n = len(block)
-            for i, w in enumerate(block):
-                stream.append(number.setdefault(w, len(number)))
-                words.append(w)
-                page_of.append(page)
-                block_end.append(start + n)
+            start, n = len(stream), len(block)
+            stream += [number.setdefault(w, len(number)) for w in block]
+            words += block
             starts += range(start, start + max(1, n - run + 1))
             # a fence of its own after each block, so that no run crosses it
             stream.append(fence)
-            fence -= 1
             words.append("")
-            page_of.append(page)
-            block_end.append(0)
+            fence -= 1
+            page_of += [page] * (n + 1)
+            block_end += [start + n] * n + [0]
     if not stream:
         return {}
     tokens, page_no = np.array(stream, np.int64), np.array(page_of, np.int64)
@@ -190,17 +189,13 @@ def shard_runs(pages: list[tuple[int, list[list[str]]]], run: int) -> dict[int,
     for k in range(run):
         a, b = np.minimum(order[1:] + k, len(tokens) - 1), np.minimum(order[:-1] + k, len(tokens) - 1)
         same &= (tokens[a] == tokens[b]) | (k >= size[1:])
-    group = np.concatenate([[0], np.cumsum(~same)]) if len(order) else np.zeros(0, np.int64)
-    first = np.flatnonzero(np.concatenate([[True], ~same])) if len(order) else np.zeros(0, np.int64)
-    low = np.minimum.reduceat(page_no[order], first) if len(first) else []
-    high = np.maximum.reduceat(page_no[order], first) if len(first) else []
-    assert len(first) == (group[-1] + 1 if len(group) else 0)
-    out: dict[int, tuple[int, int]] = {}
-    for f, a, b in zip(first, low, high):
-        i, n = order[f], size[f]
-        key = xxhash.xxh64_intdigest(" ".join(words[i : i + n]).encode()) >> 1
-        was = out.get(key)
-        out[key] = (int(a), int(b)) if was is None else (min(was[0], int(a)), max(was[1], int(b)))
+    new = np.concatenate([[True], ~same])
+    group = np.cumsum(new) - 1
+    held = np.bincount(np.unique(group * len(pages) + page_no[order]) // len(pages), minlength=group[-1] + 1)
+    out: dict[int, int] = {}
+    for i, n, pages_with in zip(order[new].tolist(), size[new].tolist(), held.tolist()):
+        key = run_key(words[i : i + n])
+        out[key] = out.get(key, 0) + pages_with
     return out
 
 
@@ -208,66 +203,76 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"://([^/?#]*)", 1)), F.lit(""))
 
 
-def repeated_runs(pages: DataFrame, scratch: Scratch, run: int = 6, shard: int = 500) -> DataFrame:
-    """(host, key): runs outside articles that occur on two or more pages of a host. ``pages``: page_id, url, html, host."""
-    cut = pages.select("page_id", "host", "html")
+def repeated_runs(pages: DataFrame, scratch: Scratch, run: int = 10, shard: int = 500, share: float = 0.02) -> DataFrame:
+    """(host, key): boilerplate runs outside articles. ``pages``: page_id, url, html, host."""
 
     def outside(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, n in slices(pc.binary_length(batch.column(2)), 4 << 20):
+            for start, n in slices(pc.binary_length(batch.column(1)), 2 << 20):
                 part = batch.slice(start, n)
-                rows = [[t.split() for kind, t in blocks_of(h) if kind != 1] for h in part.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(rows, pa.list_(pa.list_(pa.string())))], names=["page_id", "host", "blocks"])
+                cut = [blocks_of(h) for h in part.column(1).to_pylist()]
+                rows = [[t.split() for kind, t in blocks if kind != 1] for blocks in cut]
+                page = [xxhash.xxh64_intdigest("\n".join(t for _, t in blocks).encode()) - (1 << 63) for blocks in cut]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(page, pa.int64()), pa.array(rows, pa.list_(pa.list_(pa.string())))], names=["host", "page", "blocks"])
 
-    streams = scratch.save(cut.mapInArrow(outside, "page_id long, host string, blocks array<array<string>>"))
-    sizes = streams.groupBy("host").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
-    dealt = streams.join(sizes, "host").withColumn("shard", F.pmod(F.hash("page_id"), "shards")).select("host", "shard", "page_id", "blocks")
+    streams = scratch.save(pages.select("host", "html").mapInArrow(outside, "host string, page long, blocks array<array<string>>"))
+    sizes = scratch.save(streams.groupBy("host").agg(F.count_distinct("page").alias("pages")))
+    dealt = streams.join(sizes, "host").select("host", F.pmod(F.xxhash64("page"), F.ceil(F.col("pages") / shard)).alias("shard"), "page", "blocks")
 
     def arrays(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(host: str, rows: list) -> pa.RecordBatch:
-            found = shard_runs(rows, run)
-            return pa.RecordBatch.from_arrays([pa.array([host] * len(found), pa.string()), pa.array(list(found), pa.int64()), pa.array([a for a, _ in found.values()], pa.int64()), pa.array([b for _, b in found.values()], pa.int64())], names=["host", "key", "low", "high"])
+        def done(host: str, rows: dict) -> pa.RecordBatch:
+            found = shard_runs([*rows.values()], run)
+            return pa.RecordBatch.from_arrays([pa.array([host] * len(found), pa.string()), pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["host", "key", "n"])
 
-        now, rows = None, []
+        now, rows = None, {}
         for batch in batches:
             for host, no, page, blocks in zip(*(c.to_pylist() for c in batch.columns)):
                 if now is not None and now != (host, no):
                     yield done(now[0], rows)
-                    rows = []
+                    rows = {}
                 now = (host, no)
-                rows.append((page if page is not None else -1, blocks))
+                rows[page] = blocks
         if now is not None:
             yield done(now[0], rows)
 
-    runs = dealt.repartition("host", "shard").sortWithinPartitions("host", "shard").mapInArrow(arrays, "host string, key long, low long, high long")
-    return scratch.save(runs.groupBy("host", "key").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("host", "key"))
+    runs = dealt.repartition("host", "shard").sortWithinPartitions("host", "shard").mapInArrow(arrays, "host string, key long, n long")
+    found = runs.groupBy("host", "key").agg(F.sum("n").alias("n")).where("n > 1").join(sizes, "host")
+    return scratch.save(found.where(F.col("n") >= F.col("pages") * share).select("host", "key"))
 
 
-def text_of(html: str | None, common: set[int], run: int) -> str:
-    """The kept blocks, joined by line breaks; ``common`` holds the keys of the host's repeated runs."""
-    kept = []
+def text_of(html: str | None, common: set[int], run: int) -> tuple[str, int, int]:
+    """(text, blocks that runs cut or shortened, blocks that marks dropped what was left of); ``common`` holds the keys of
+    the host's boilerplate runs. The kept blocks are joined by line breaks."""
+    kept, by_runs, by_marks = [], 0, 0
     for kind, block in blocks_of(html):
-        if kind == 2:
+        if kind != 1:
             words = block.split()
-            keys, begins = run_keys(words, run)
             covered = np.zeros(len(words), bool)
-            for key, at in zip(keys, begins):
+            for at, key in enumerate(run_keys(words, run) if common else ()):
                 if key in common:
                     covered[at : at + run] = True
-            if 2 * covered.sum() >= len(words):
+            by_runs += bool(covered.any())
+            block = " ".join(w for w, c in zip(words, covered) if not c) if covered.any() else block
+            by_marks += bool(kind == 0 and block)
+            if kind == 0 or not block:
                 continue
-        if kind:
-            kept.append(block)
-    return "\n".join(kept)
+        kept.append(block)
+    return "\n".join(kept), by_runs, by_marks
 
 
-def extract(pages: DataFrame, scratch: Scratch, run: int = 6, shard: int = 500, broadcast_rows: int = 200_000) -> DataFrame:
-    """(page_id, url, text, n_chars) of every page (page_id, url, html)."""
+def extract(pages: DataFrame, scratch: Scratch, run: int = 10, shard: int = 500, share: float = 0.02, broadcast_rows: int = 200_000) -> DataFrame:
+    """(page_id, url, text, n_chars, by_runs, by_marks) of every page (page_id, url, html); the last two count its blocks
+    outside articles that runs were cut from and whose rest marks dropped."""
     pages = spread(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")).withColumn("host", host_of(F.col("url")))
-    common = repeated_runs(pages, scratch, run, shard)
-    schema = "page_id long, url string, text string, n_chars long"
-    at = common.count()
-    if at <= broadcast_rows:
+    common = repeated_runs(pages, scratch, run, shard, share)
+    schema = "page_id long, url string, text string, n_chars long, by_runs long, by_marks long"
+
+    def rows_of(part: pa.RecordBatch, keys: Iterable[set[int]]) -> pa.RecordBatch:
+        made = [text_of(h, k, run) for h, k in zip(part.column(2).to_pylist(), keys)]
+        texts = [m[0] for m in made]
+        return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), *(pa.array(c, pa.int64()) for c in ([len(t) for t in texts], [m[1] for m in made], [m[2] for m in made]))], names=["page_id", "url", "text", "n_chars", "by_runs", "by_marks"])
+
+    if common.count() <= broadcast_rows:
         # at most broadcast_rows keys of eight bytes, with their hosts
         by_host: dict[str, set[int]] = {}
         for r in common.groupBy("host").agg(F.collect_list("key").alias("keys")).collect():
@@ -275,21 +280,20 @@ def extract(pages: DataFrame, scratch: Scratch, run: int = 6, shard: int = 500,
         sent = pages.sparkSession.sparkContext.broadcast(by_host)
 
         def run_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys = sent.value
-            none: set[int] = set()
+            keys, none = sent.value, set()
             for batch in batches:
-                for start, n in slices(pc.binary_length(batch.column(2)), 4 << 20):
+                for start, n in slices(pc.binary_length(batch.column(2)), 2 << 20):
                     part = batch.slice(start, n)
-                    texts = [text_of(h, keys.get(host, none), run) for h, host in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+                    yield rows_of(part, (keys.get(host, none) for host in part.column(3).to_pylist()))
 
         return pages.select("page_id", "url", "html", "host").mapInArrow(run_all, schema)
 
-    # the keys of each page's undecided blocks that are repeated, gathered by page and joined to it: bounded by the page
+    # the keys of each page's runs that are boilerplate, gathered by page and joined to it: bounded by the page
     def page_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(no, host, k) for no, host, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()) for k in {k for kind, t in blocks_of(h) if kind == 2 for k in run_keys(t.split(), run)[0]}]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.string(), pa.int64()))], names=["page_no", "host", "key"])
+            for start, n in slices(pc.binary_length(batch.column(2)), 2 << 20):
+                rows = [(no, host, k) for no, host, h in zip(*(c.to_pylist() for c in batch.slice(start, n).columns)) for k in {k for kind, t in blocks_of(h) if kind != 1 for k in run_keys(t.split(), run)}]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.string(), pa.int64()))], names=["page_no", "host", "key"])
 
     numbered = pages.withColumn("page_no", F.xxhash64("page_id", "url", "html"))
     found = numbered.select("page_no", "host", "html").mapInArrow(page_keys, "page_no long, host string, key long").distinct().join(common, ["host", "key"])
@@ -297,7 +301,8 @@ def extract(pages: DataFrame, scratch: Scratch, run: int = 6, shard: int = 500,
 
     def run_joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [text_of(h, set(k or ()), run) for h, k in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+            for start, n in slices(pc.binary_length(batch.column(2)), 2 << 20):
+                part = batch.slice(start, n)
+                yield rows_of(part, (set(k or ()) for k in part.column(3).to_pylist()))
 
     return numbered.join(per_page, "page_no", "left").select("page_id", "url", "html", "keys").mapInArrow(run_joined, schema)
