@@ -10,7 +10,9 @@ the blank line, and Content-Length frames the block. SHA-1 digests of block and
 a record whose digest, framing or trailer is wrong raises.
 
 Defined results: a null payload counts as empty; rows with a null page_id are responses unless a row with equal payload
-has a page_id; all rows that bear a group's smallest page_id are responses; an empty table gives no archive.
+has a page_id; all rows that bear a group's smallest page_id are responses; payloads of any length are one record; an empty
+table gives no archive. A url is written without white space and control characters of ASCII, which a header can't hold,
+and read back so; a null url is written as ``urn:none``, which reads back as null. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -127,13 +129,16 @@ class Reader:
         raise ValueError(why)
 
 
-def with_references(pages: DataFrame, least: int = 0) -> DataFrame:
+def with_references(pages: DataFrame, scratch: Scratch, least: int = 0, few: int = 1_000_000) -> DataFrame:
     """Append refers_to: the smallest page_id with an equal payload, if that is another page and payloads of at least
-    ``least`` bytes. Payloads are compared by SHA-1; groups are aggregated before the join, so a large group of copies
-    arrives as one row per key and only the side of the pages can be uneven, which Spark splits."""
-    keyed = pages.withColumn("_sha", F.sha1(F.coalesce("html", F.lit(EMPTY_AS)).cast("binary")))
-    group = keyed.where(F.octet_length(F.coalesce("html", F.lit(EMPTY_AS))) >= least).groupBy("_sha").agg(F.min("page_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("_sha", "_first")
-    return keyed.join(group, "_sha", "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("_first")), F.col("_first"))).drop("_sha", "_first")
+    ``least`` bytes. Payloads are compared by SHA-1. Only groups of several pages are joined back: broadcast if they number
+    at most ``few`` (28 bytes each), so that no html is shuffled, and else by a join that Spark splits where it is uneven."""
+    digest = lambda df: F.unhex(F.sha1(F.coalesce(df["html"], F.lit(EMPTY_AS)).cast("binary")))
+    pages = pages.drop("refers_to")
+    sums = pages.where(F.octet_length(F.coalesce("html", F.lit(EMPTY_AS))) >= least).select(digest(pages).alias("_sha"), "page_id")
+    group = scratch.save(sums.groupBy("_sha").agg(F.min("page_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("_sha", "_first"))
+    group = F.broadcast(group) if group.limit(few + 1).count() <= few else group
+    return pages.withColumn("_sha", digest(pages)).join(group, "_sha", "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("_first")), F.col("_first"))).drop("_sha", "_first")
 
 
 def write(pages: DataFrame, scratch: Scratch, roll: int = 2 << 20) -> DataFrame:
@@ -199,7 +204,7 @@ def read(archives: DataFrame, payloads: bool = False) -> DataFrame:
 
 def archive_round_trip(pages: DataFrame, scratch: Scratch, least: int = 0) -> DataFrame:
     """Write every page, read every archive."""
-    return read(write(with_references(spread(pages.select("page_id", "url", "html")), least), scratch))
+    return read(write(with_references(spread(pages.select("page_id", "url", "html")), scratch, least), scratch))
 
 
 def export(archives: DataFrame, folder: str) -> int:
