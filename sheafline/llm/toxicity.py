@@ -237,8 +237,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, scratch: Scratc
                     out.append(json.dumps([[(fs := memo.get(w) or [f for f in features(w) if f in candidates]), int(x == 1 and any(f in seeds for f in fs))] for w in words[lo:hi]]))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["w"])
 
-    rows = scratch.save(train.select("text", "toxic").mapInArrow(windows, "w string")).orderBy(F.xxhash64("w"), "w").collect()
-    return train_field([json.loads(r["w"]) for r in rows])
+    rows = scratch.save(train.select("text", "toxic").mapInArrow(windows, "w string")).collect()
+    return train_field([json.loads(w) for w in sorted(r["w"] for r in rows)])
 
 
 class _Block:
