@@ -26,18 +26,19 @@ def terms_in(line, terms=TERMS) -> Column:
     return F.transform(F.filter(pairs, lambda p: (p["key"] != "") & F.contains(key, p["key"])), lambda p: p["term"])
 
 
-def match_terms(lines: DataFrame, terms: DataFrame) -> DataFrame:
-    """(line's columns, term) for a table of terms (term) of any size: candidates by the term's first word, then the check.
+def match_terms(lines: DataFrame, terms: DataFrame, part: int = 6) -> DataFrame:
+    """(line's columns, term) for a table of terms (term) of any size: candidates by a part of the term, then the check.
 
-    Both sides share a word as key, so it is an equi-join and no product of the two."""
-    keyed = terms.select("term", match_key("term").alias("key")).where("key != ''").select("term", "key", F.get(F.split("key", " "), 0).alias("first"))
-    # a term may begin inside a word of the line, so each suffix of each word is a possible start
-    source = lines.withColumn("_key", match_key("line"))
-    words = F.array_distinct(F.flatten(F.transform(F.split("_key", " "), lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))), lambda i: F.substring(w, i, F.length(w))))))
-    lengths = F.lit(1)  # a term of one word may also end inside a word: its prefixes are starts as well
-    starts = F.array_distinct(F.concat(words, F.flatten(F.transform(words, lambda w: F.transform(F.sequence(lengths, F.greatest(F.length(w), F.lit(1))), lambda i: F.substring(w, F.lit(1), i))))))
-    found = source.withColumn("first", F.explode(starts)).join(keyed, "first").where(F.contains(F.col("_key"), F.col("key")))
-    return found.drop("_key", "first", "key").distinct()
+    The part is the term's first ``part`` characters, or all of a shorter term, and a line is dealt by its distinct parts of
+    the lengths that the terms have: an equi-join of rows in proportion to the line's length, and no product of the two."""
+    keyed = terms.select("term", match_key("term").alias("key")).where("key != ''").withColumn("part", F.substring("key", 1, part)).distinct()
+    lengths = sorted(r[0] for r in keyed.select(F.length("part")).distinct().collect())  # no more than ``part`` numbers
+    # by an array of characters, as a substring is looked for from the start of its text
+    source = lines.withColumn("_key", match_key("line")).withColumn("_chars", F.filter(F.split("_key", ""), lambda x: x != ""))
+    cut = lambda n: F.when(F.size("_chars") >= n, F.transform(F.sequence(F.lit(0), F.size("_chars") - n), lambda i: F.concat(*(F.get(F.col("_chars"), i + k) for k in range(n))))).otherwise(F.array().cast("array<string>"))
+    parts = F.array_distinct(F.concat(F.array().cast("array<string>"), *map(cut, lengths)))
+    found = source.withColumn("part", F.explode(parts)).join(keyed, "part").where(F.contains(F.col("_key"), F.col("key")))
+    return found.drop("_key", "_chars", "part", "key").distinct()
 
 
 def term_warning(line) -> Column:

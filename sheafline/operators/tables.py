@@ -143,17 +143,14 @@ def _data_header(heads: Column, line: Column, at: Column) -> Column:
 
 def _runs(lines: Column, member) -> Column:
     """array of struct(on, lines): maximal runs of neighbours by whether ``member(line)``."""
-    kind = F.transform(lines, lambda x: F.struct(member(x).alias("on"), x.alias("line")))
-    empty = F.array().cast("array<struct<on:boolean,lines:array<string>>>")
+    def cut(lines: Column, marks: Column, starts: Column) -> Column:
+        return F.transform(starts, lambda s, k: F.struct(F.get(marks, s).alias("on"), F.slice(lines, s + 1, F.coalesce(F.get(starts, k + 1), F.size(marks)) - s).alias("lines")))
 
-    def add(acc: Column, x: Column) -> Column:
-        return let(F.get(acc, F.size(acc) - 1), lambda last: grow(acc, last, x))
+    def run_starts(marks: Column) -> Column:
+        places = F.when(F.size(marks) > 0, F.sequence(F.lit(0), F.size(marks) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.filter(places, lambda i: (i == 0) | (F.get(marks, i) != F.get(marks, i - 1)))
 
-    def grow(acc: Column, last: Column, x: Column) -> Column:
-        longer = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["on"].alias("on"), F.concat(last["lines"], F.array(x["line"])).alias("lines"))))
-        return F.when((F.size(acc) > 0) & (last["on"] == x["on"]), longer).otherwise(F.concat(acc, F.array(F.struct(x["on"].alias("on"), F.array(x["line"]).alias("lines")))))
-
-    return F.aggregate(kind, empty, add)
+    return let(lines, lambda lines: let(F.transform(lines, member), lambda marks: let(run_starts(marks), lambda starts: cut(lines, marks, starts))))
 
 
 def even_columns(c) -> Column:
@@ -259,13 +256,14 @@ def without_artifacts(c) -> Column:
 def _in_table(lines: Column, member, inclusive_end: bool = True) -> Column:
     """Array of booleans: whether a table line stands at or before each line without a blank line between."""
     marks = F.transform(lines, lambda x: F.when(member(x), 1).when(strip(x) == "", 0).otherwise(-1))
-    start = F.struct(F.lit(False).alias("on"), F.array().cast("array<boolean>").alias("all"))
+    start = F.struct(F.lit(False).alias("on"), F.lit("").alias("all"))
 
     def step(acc: Column, m: Column) -> Column:
         on = F.when(m == 1, True).when(m == 0, False).otherwise(acc["on"])
-        return F.struct(on.alias("on"), F.concat(acc["all"], F.array(on)).alias("all"))
+        return F.struct(on.alias("on"), F.concat(acc["all"], F.when(on, "1,").otherwise("0,")).alias("all"))
 
-    return F.aggregate(marks, start, step, lambda acc: acc["all"])
+    said = F.split(F.aggregate(marks, start, step, lambda acc: acc["all"]), ",")
+    return let(said, lambda said: F.transform(F.slice(said, 1, F.size(said) - 1), lambda x: x == "1"))
 
 
 def bold_headings(c) -> Column:

@@ -28,6 +28,12 @@ def query(sql: str | None = None):
     return add
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan over all cores if it has fewer splits (small files); a large scan is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -37,7 +43,8 @@ def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     for name in ("orders", "lineitem", "part"):
         if f"FROM {name}" in sql:
             sql = sql.replace(f"FROM {name}", f"FROM parquet.`{sf_dir}/{name}.parquet`")
-    return spark.sql(sql)
+    # a grouped or windowed input is dealt by its keys already
+    return spark.sql(sql) if "GROUP BY" in sql or "OVER (" in sql else spread(spark.sql(sql))
 
 
 def digest(c: Column | str) -> Column:
@@ -88,7 +95,7 @@ _LINES = "SELECT doc_id, line_no, line FROM (SELECT doc_id, unnest(string_split(
 # ---- functions of text ----------------------------------------------------------------------------------------------
 @query(f"SELECT doc_id, md5({q_clean('text')}) AS cleaned FROM documents")
 def clean_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", digest(text.clean_text("text")).alias("cleaned"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", digest(text.clean_text("text")).alias("cleaned"))
 
 
 @query(f"SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, {q_line('line')} AS line FROM ({_LINES})")
@@ -99,7 +106,7 @@ def clean_lines(spark, sf_dir):
 
 @query(f"SELECT doc_id, md5({q_key('text')}) AS key FROM documents")
 def match_key(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", digest(text.match_key("text")).alias("key"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", digest(text.match_key("text")).alias("key"))
 
 
 @query(f"SELECT line_id, {q_key('line')} AS key, {q_slug('line')} AS slug, replace({q_slug('line')}, '-', '') AS name_key FROM ({corpus.LINES})")
@@ -257,8 +264,8 @@ def _bad_sql(x: str = "text") -> str:
 
 @query(f"SELECT doc_id, {_bad_sql()} AS bad, CASE WHEN length(CASE WHEN {_bad_sql()} THEN '' ELSE text END) >= 30 THEN 'text' ELSE 'ocr' END AS extraction FROM documents")
 def text_quality(spark, sf_dir):
-    t = table(spark, sf_dir, "documents")
-    return t.select("doc_id", routing.is_bad_text("text").alias("bad"), routing.extraction(routing.usable_text("text")).alias("extraction"))
+    t = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("bad", routing.is_bad_text("text"))
+    return t.select("doc_id", "bad", routing.extraction(routing.usable_text("text", bad=F.col("bad"))).alias("extraction"))
 
 
 def _list_sql(x: str, words) -> str:
