@@ -275,7 +275,7 @@ def test_warc_round_trip(spark, tmp_path):
     digest = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
     want = [(0, 7, digest("null id"), "response", None), (1, 100000, digest("é" * 50000), "response", None), (2, 4, digest("same"), "response", None), (2, 4, digest("same"), "response", None), (3, 4, digest("same"), "revisit", 2), (4, 0, digest(""), "response", None), (5, 0, digest(""), "revisit", 4), (6, 4, digest("\r\n\r\n"), "response", None)]
     assert rows == want
-    archives = warc.write(warc.with_references(df), Scratch(spark, "t"), roll=100)
+    archives = warc.write(warc.with_references(df, Scratch(spark, "t")), Scratch(spark, "t"), roll=100)
     assert {bytes(r.payload).decode() for r in warc.read(archives, True).where("record_type = 'response'").collect()} == {t or "" for _, _, t in pages} | {"null id"}
     assert warc.export(archives, str(tmp_path / "o")) == archives.count() == len(list((tmp_path / "o").iterdir()))
     raw = gzip.decompress(next((tmp_path / "o").iterdir()).read_bytes())
