@@ -139,7 +139,7 @@ class Model:
 class Scorer:
     """Log likelihoods of words, those of at most SHORT characters remembered up to ``most``."""
 
-    def __init__(self, model: Model, most: int = 200_000):
+    def __init__(self, model: Model, most: int = 400_000):
         self.model, self.most = model, most
         self.pieces, self.prefixes = vocabulary(model.path)
         self.longest = max(map(len, self.pieces), default=1)
@@ -193,7 +193,7 @@ class Scorer:
 
 def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Append lang_pred and score."""
-    return add_text_columns(df, text, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], lambda: Scorer(model))
+    return add_text_columns(df, text, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], lambda: Scorer(model), 4 << 20)
 
 
 def fit(docs: DataFrame, path: str, scratch: Scratch, per_language: int = 300, rounds: int = 4) -> Model:
