@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import any_within, col, file_ext, file_stem, first_non_empty, name_key, rstrip, slug, split_lines, strip, sub
+from ..functions.text import any_within, col, file_ext, file_stem, first_non_empty, let, name_key, rstrip, slug, split_lines, strip, sub
 
 # ---- fixed values -------------------------------------------------------------------------------------------------
 FIELDS = ("document_id", "version_id", "title", "document_type", "domain", "department", "audience", "code", "issued_date", "effective_date", "expiry_date", "version", "is_latest", "validity_status", "replaces", "replaced_by", "collection_status", "ocr_status", "review_status", "rag_status", "source_url", "source_file", "file_type", "accessed_date", "language", "confidentiality", "priority", "citation_type", "chunking_strategy", "created_at", "updated_at", "checksum", "parser", "ocr_engine", "notes")
@@ -117,15 +117,32 @@ def dump(values: dict[str, Column], lists: dict[str, Column] | None = None) -> C
 
 def embedded(c) -> Column:
     """map of the ``- key: value`` lines in a body's ``## Metadata`` section; keys in lower case, the last of a key wins."""
-    lines = F.transform(split_lines(c), strip)
-    start = F.array_position(lines, "## Metadata")
-    rest = F.slice(lines, F.greatest(start.cast("int"), F.lit(1)), F.size(lines))
-    stop = F.array_position(F.transform(rest, lambda x: x.startswith("## ") & (x != "## Metadata")), True)
-    within = F.when(start == 0, F.array().cast("array<string>")).when(stop > 0, F.slice(rest, 1, stop.cast("int"))).otherwise(rest)
-    pattern = r"(?Ud)^\s*-\s*([^:]+):\s*(.*)\s*$"
-    pairs = F.transform(F.filter(within, lambda x: x.rlike(pattern)), lambda x: F.struct(F.lower(strip(F.regexp_extract(x, pattern, 1))).alias("k"), sub(strip(F.regexp_extract(x, pattern, 2)), "^`+|`+$", "").alias("v")))
-    last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda y: y["k"] == x["k"]))
-    return F.map_from_entries(last)
+    return let(F.coalesce(col(c), F.lit("")), _embedded)
+
+
+def _embedded(x: Column) -> Column:
+    none = F.array().cast("array<struct<k:string,v:string>>")
+    # every value is bound once: what a lambda names would be worked out again for each line
+    return F.map_from_entries(F.when(F.contains(x, F.lit("## Metadata")), let(F.transform(split_lines(x), strip), _section)).otherwise(none))
+
+
+def _section(lines: Column) -> Column:
+    """The pairs of the lines from the section's heading to the next one."""
+    pattern = r"(?Ud)^-\s*([^:]+):\s*(.*)\s*$"
+    pair = lambda x: F.struct(F.lower(strip(F.regexp_extract(x, pattern, 1))).alias("k"), sub(strip(F.regexp_extract(x, pattern, 2)), "^`+|`+$", "").alias("v"))
+
+    def until(rest: Column) -> Column:
+        stop = F.array_position(F.transform(rest, lambda x: x.startswith("## ") & (x != "## Metadata")), True).cast("int")
+        return let(stop, lambda n: F.when(n > 0, F.slice(rest, 1, n)).otherwise(rest))
+
+    def last(pairs: Column) -> Column:
+        return let(F.transform(pairs, lambda x: x["k"]), lambda keys: F.when(F.size(F.array_distinct(keys)) == F.size(keys), pairs).otherwise(F.filter(pairs, lambda x, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), x["k"]))))
+
+    def within(start: Column) -> Column:
+        rest = F.when(start > 0, F.slice(lines, F.greatest(start, F.lit(1)), F.size(lines))).otherwise(F.array().cast("array<string>"))
+        return let(F.transform(F.filter(let(rest, until), lambda x: x.startswith("-") & x.rlike(pattern)), pair), last)
+
+    return let(F.array_position(lines, "## Metadata").cast("int"), within)
 
 
 def source_keys(md_path, meta: Column) -> Column:
